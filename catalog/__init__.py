@@ -1,0 +1,13 @@
+"""Every named query, one module per part of the inventory."""
+
+from importlib import import_module
+
+MODULES = ("cleaning", "features")
+
+
+def all_queries():
+    from catalog.registry import QUERIES
+
+    for module in MODULES:
+        import_module(f"catalog.{module}")
+    return QUERIES

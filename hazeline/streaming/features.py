@@ -52,10 +52,12 @@ def feature_stream(
         context = None
         if batch_id > 0:
             context = spark.read.schema(batch.schema).parquet(f"{context_path}/{(batch_id - 1) % 2}")
+        batch = batch.persist()  # read by the counts, the windows and the context
         features, rows = feature_batch(context, batch, spec, layout)
         features.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
         kept = series.last_rows(rows.select(*columns), spec.reach, layout)
         kept.write.mode("overwrite").parquet(f"{context_path}/{batch_id % 2}")
+        batch.unpersist()
 
     return (
         readings.writeStream.foreachBatch(process)
