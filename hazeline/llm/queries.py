@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, chat, decontaminate, sharding
+from hazeline.llm import bpe, chat, decontaminate, language, quality, secret_scan, sharding
 from hazeline.llm.common import table
 
 
@@ -22,6 +22,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op3_quality(spark, sf_dir):
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontaminate(spark, sf_dir):
     return decontaminate.scanned(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -55,6 +59,10 @@ FROM doc d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+def op5_language(spark, sf_dir):
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op6_hilbert_shards(spark, sf_dir):
     placed = sharding.sharded(table(spark, sf_dir, "documents"))
     grown = F.lit(None).cast("int").alias("grown_shard")
@@ -94,9 +102,16 @@ FROM long GROUP BY conv_id
 """
 
 
+def op10_secrets(spark, sf_dir):
+    return secret_scan.scanned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
+    "op3_quality": Query(op3_quality),
     "op4_decontaminate": Query(op4_decontaminate, OP4_SQL),
+    "op5_language": Query(op5_language),
     "op6_hilbert_shards": Query(op6_hilbert_shards),
     "op7_bpe": Query(op7_bpe),
     "op9_chat": Query(op9_chat, OP9_SQL),
+    "op10_secrets": Query(op10_secrets),
 }
