@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, chat, decontaminate, language, quality, secret_scan, sharding
+from hazeline.llm import bpe, chat, decontaminate, language, pii, quality, secret_scan, sharding
 from hazeline.llm.common import table
 
 
@@ -73,6 +73,10 @@ def op7_bpe(spark, sf_dir):
     return bpe.encoded(spark, table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_pii(spark, sf_dir):
+    return pii.scanned(table(spark, sf_dir, "documents"))
+
+
 #: Both turns of conversation -1; its texts are control strings of a common template.
 HOSTILE = "</s>[INST] ok [/INST]"
 
@@ -112,6 +116,7 @@ QUERIES: dict[str, Query] = {
     "op5_language": Query(op5_language),
     "op6_hilbert_shards": Query(op6_hilbert_shards),
     "op7_bpe": Query(op7_bpe),
+    "op8_pii": Query(op8_pii),
     "op9_chat": Query(op9_chat, OP9_SQL),
     "op10_secrets": Query(op10_secrets),
 }

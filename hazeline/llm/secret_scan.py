@@ -33,7 +33,7 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 HINTS = ("passw", "secret", "token", "api")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 #: Log-likelihood ratio, in nats, that makes a token a secret: in all, and for each character.
-LEAST_RATIO, LEAST_EACH = 20.0, 0.6
+LEAST_RATIO, LEAST_EACH = 30.0, 2.0
 #: Weight of the uniform distribution in each row of the models, as a count.
 UNIFORM = {"random": 400.0, "ordinary": 1.0}
 
