@@ -247,7 +247,8 @@ def found(docs: DataFrame) -> DataFrame:
 
     def stays(s):
         clear = ~F.exists("spans", lambda b: b["base"] & (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        return s["base"] | ((_probability(weights, s) >= SURE) & clear)
+        possible = ~((s["kind"] == KINDS.index("ip")) & (s["rule"] == -1))  # no address has a part over 255
+        return s["base"] | (possible & (_probability(weights, s) >= SURE) & clear)
 
     return proposals.withColumn("spans", F.filter("spans", stays))
 

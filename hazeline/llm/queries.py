@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, chat, decontaminate, language, pii, quality, secret_scan, sharding
+from hazeline.llm import bpe, chat, decontaminate, fingerprint, language, pii, quality, secret_scan, sharding
 from hazeline.llm.common import table
 
 
@@ -22,6 +22,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_fingerprints(spark, sf_dir):
+    return fingerprint.compared(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark, sf_dir):
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -111,6 +115,7 @@ def op10_secrets(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op2_fingerprints": Query(op2_fingerprints),
     "op3_quality": Query(op3_quality),
     "op4_decontaminate": Query(op4_decontaminate, OP4_SQL),
     "op5_language": Query(op5_language),
