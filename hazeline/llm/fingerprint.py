@@ -78,15 +78,11 @@ def _summed(lines: Column, hashes: Column) -> Column:
     )
 
     def packed(own):
-        return F.transform(
-            F.array(*[F.lit(j) for j in range(GAP)]),
-            lambda j: F.aggregate(
-                own, F.lit(0).cast("long"), lambda a, h: a + F.shiftright(h, j).bitwiseAND(F.lit(ONES))
-            ),
-        )
+        count = lambda j: lambda a, h: a + F.shiftright(h, j).bitwiseAND(F.lit(ONES))
+        return F.array(*[F.aggregate(own, F.lit(0).cast("long"), count(j)) for j in range(GAP)])
 
     number = F.array(F.size(hashes).cast("long"))
-    more = [packed(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(k)))) for k in range(1, HASHES)]
+    more = [_let(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(k))), packed) for k in range(1, HASHES)]
     return F.concat(whole, number, packed(hashes), *more)
 
 
