@@ -33,3 +33,20 @@ def sha256(text: Column) -> Column:
 
 def all_matches(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), 0)
+
+
+def row_keys() -> dict[str, Column]:
+    """Two columns that tell rows of one id, or without one, apart by plain equality.
+
+    ``id_key`` is never null; ``version`` hashes the text and whether there is an id.
+    """
+    return {
+        "id_key": F.coalesce("doc_id", F.lit(0)).cast("long"),
+        "version": F.xxhash64(F.col("doc_id").isNull(), text_or_empty()),
+    }
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id, id_key, version, text`` with null texts empty."""
+    keys = [key.alias(name) for name, key in row_keys().items()]
+    return docs.select("doc_id", *keys, text_or_empty().alias("text"))

@@ -22,7 +22,7 @@ each gives its row; null ids come last; other columns are not read.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import sha256, text_or_empty
+from hazeline.llm.common import keyed, sha256, text_or_empty
 from hazeline.llm.sharding import ranked
 
 #: Words of a piece at most; pieces do not cross lines.
@@ -153,32 +153,32 @@ def compared(docs: DataFrame) -> DataFrame:
     order of descending ids. The order is found over ids alone; texts are shuffled once, and
     of each next text only the part that is needed moves again.
     """
-    text = text_or_empty()
-    versioned = docs.select("doc_id", F.xxhash64(text).alias("version"), text.alias("text"))
-    order = versioned.select("doc_id", "version", F.length("text").alias("n_chars")).distinct()
+    versioned = keyed(docs)
+    order = versioned.select("id_key", "version", "doc_id", F.length("text").alias("n_chars")).distinct()
     order = order.withColumn("backward", F.coalesce(-F.col("doc_id"), F.lit((1 << 63) - 1)))
-    places, rows = ranked(order, "backward", "doc_id", "version", label="order")
+    places, rows = ranked(order, "backward", "id_key", "version", label="order")
     following = places.select(
         ((F.col("place") + max(rows, 1) - 1) % max(rows, 1)).alias("place"),
-        F.col("doc_id").alias("next_id"),
+        F.col("id_key").alias("next_key"),
         F.col("version").alias("next_version"),
     )
     needs = places.join(following, "place").select(
-        F.col("doc_id").alias("of_id"),
+        F.col("id_key").alias("of_key"),
         F.col("version").alias("of_version"),
-        "next_id",
+        "next_key",
         "next_version",
         "n_chars",
         F.floor(F.col("n_chars") / 3).cast("int").alias("take"),
     )
     whole = versioned.withColumn("vector", vector(F.col("text")))
-    on_next = F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("version") == F.col("next_version"))
     ends = (
-        whole.join(needs, on_next)
-        .select("of_id", "of_version", "n_chars", "take", F.substr("text", F.lit(1), "take").alias("tail"), F.col("vector").alias("next_vector"))
-        .dropDuplicates(["of_id", "of_version"])
+        whole.join(needs, (F.col("id_key") == F.col("next_key")) & (F.col("version") == F.col("next_version")))
+        .select(
+            "of_key", "of_version", "n_chars", "take", F.substr("text", F.lit(1), "take").alias("tail"), F.col("vector").alias("next_vector")
+        )
+        .dropDuplicates(["of_key", "of_version"])
     )
-    on_own = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("version") == F.col("of_version"))
+    on_own = (F.col("id_key") == F.col("of_key")) & (F.col("version") == F.col("of_version"))
     edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars") - F.col("take")), F.col("tail"))
     both = whole.join(ends, on_own).select(
         "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "vector", "next_vector", edited.alias("edited")

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, chat, decontaminate, fingerprint, language, pii, quality, secret_scan, sharding
+from hazeline.llm import bpe, chat, decontaminate, fingerprint, language, neardup, pii, quality, secret_scan, sharding
 from hazeline.llm.common import table
 
 
@@ -22,6 +22,35 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_minhash_dedup(spark, sf_dir):
+    rows = neardup.grouped(table(spark, sf_dir, "documents"), width=4)
+    return rows.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+OP1_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[ 	-]+'), lambda x: x <> '') AS w FROM documents
+), shingle AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
+), size AS (
+  SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT a, b FROM common c JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM doc
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN link l ON l.a = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, cast(coalesce(n, 0) AS bigint) AS n_shingles, component_id, component_id = d.doc_id AS kept
+FROM doc d JOIN least USING (doc_id) LEFT JOIN size USING (doc_id)
+"""
+
+
 def op2_fingerprints(spark, sf_dir):
     return fingerprint.compared(table(spark, sf_dir, "documents"))
 
@@ -115,6 +144,7 @@ def op10_secrets(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash_dedup": Query(op1_minhash_dedup, OP1_SQL),
     "op2_fingerprints": Query(op2_fingerprints),
     "op3_quality": Query(op3_quality),
     "op4_decontaminate": Query(op4_decontaminate, OP4_SQL),
