@@ -13,6 +13,8 @@ decoded text; repeated rows give equal results; other columns are not read.
 
 import hashlib
 import json
+import re
+import struct
 import unicodedata
 
 import ahocorasick
@@ -24,11 +26,14 @@ from pyspark.sql import functions as F
 
 #: Ends a word; it is no letter of the byte-level alphabet.
 END = "\n"
-#: Distinct words remembered by one worker; beyond it the memory starts anew.
-REMEMBERED = 200_000
+#: Distinct runs of non-space text remembered by one worker, about 150 MB; beyond it the memory starts anew.
+REMEMBERED = 600_000
 #: Ids decoded at once, which bounds the working arrays of a very long text.
 DECODED_AT_ONCE = 1 << 18
-SPACE = regex.compile(r"\p{White_Space}+")
+#: Words whose bytes are their own letters.
+PLAIN = re.compile(r"[!-~]+").fullmatch
+WHITE = regex.compile(r"\p{White_Space}+")
+SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")
 
 
 def byte_letters() -> list[str]:
@@ -136,10 +141,10 @@ class Codec:
 
     def encode_word(self, word: str) -> bytes:
         """Ids of one pre-token as little-endian 32-bit integers."""
-        spelled = "".join([self.letters[b] for b in word.encode()]) + END
+        spelled = word + END if PLAIN(word) else "".join([self.letters[b] for b in word.encode()]) + END
         whole = self.spelled.get(spelled)
         if whole is not None and self._reachable(whole):
-            return np.array([whole], dtype="<u4").tobytes()
+            return struct.pack("<I", whole)
         size = len(spelled)
         longest: list[int | None] = [None] * size
         for end, (number, length) in self.automaton.iter(spelled):
@@ -167,7 +172,7 @@ class Codec:
             open_at[at] = 0
             token = chosen.pop()
             at -= self.length[token]
-        return np.array(chosen, dtype="<u4").tobytes()
+        return struct.pack(f"<{len(chosen)}I", *chosen)
 
     def _reachable(self, token: int) -> bool:
         """Whether merging by rank builds this token from its own bytes."""
@@ -201,18 +206,20 @@ class Codec:
         return b"".join(parts)
 
     def _plain(self, text: str) -> bytes:
-        text = SPACE.sub(" ", unicodedata.normalize("NFC", text))
+        text = unicodedata.normalize("NFC", text)
         # letter by letter where the lower case of a letter would depend on its neighbours
         text = "".join([c.lower() for c in text]) if "Σ" in text else text.lower()
+        # no pre-token holds white space; str.split takes four control characters for it that are none
+        chunks = text.split() if SEPARATORS.isdisjoint(text) else WHITE.split(text)
         known, out = self.known, []
-        for word in self.words.findall(text):
-            ids = known.get(word)
+        for chunk in chunks:
+            ids = known.get(chunk)
             if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = self.encode_word(word)
-                if len(word) < 64:
-                    known[word] = ids
+                ids = b"".join([self.encode_word(word) for word in self.words.findall(chunk)])
+                if len(chunk) < 64:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[chunk] = ids
             out.append(ids)
         return b"".join(out)
 
