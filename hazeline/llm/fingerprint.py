@@ -163,6 +163,7 @@ def compared(docs: DataFrame) -> DataFrame:
         F.col("version").alias("next_version"),
     )
     needs = places.join(following, "place").select(
+        "doc_id",
         F.col("id_key").alias("of_key"),
         F.col("version").alias("of_version"),
         "next_key",
@@ -170,18 +171,21 @@ def compared(docs: DataFrame) -> DataFrame:
         "n_chars",
         F.floor(F.col("n_chars") / 3).cast("int").alias("take"),
     )
-    whole = versioned.withColumn("vector", vector(F.col("text")))
+    # one shuffle serves both joins: each reads the same three columns, and vectors are made after it
+    whole = versioned.select("id_key", "version", "text")
     ends = (
         whole.join(needs, (F.col("id_key") == F.col("next_key")) & (F.col("version") == F.col("next_version")))
         .select(
-            "of_key", "of_version", "n_chars", "take", F.substr("text", F.lit(1), "take").alias("tail"), F.col("vector").alias("next_vector")
+            *["doc_id", "of_key", "of_version", "n_chars", "take"],
+            F.substr("text", F.lit(1), "take").alias("tail"),
+            vector(F.col("text")).alias("next_vector"),
         )
         .dropDuplicates(["of_key", "of_version"])
     )
     on_own = (F.col("id_key") == F.col("of_key")) & (F.col("version") == F.col("of_version"))
     edited = F.concat(F.substr("text", F.lit(1), F.col("n_chars") - F.col("take")), F.col("tail"))
     both = whole.join(ends, on_own).select(
-        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), "vector", "next_vector", edited.alias("edited")
+        "doc_id", F.col("n_chars").cast("long").alias("n_chars"), vector(F.col("text")).alias("vector"), "next_vector", edited.alias("edited")
     )
     both = both.select("*", sha256(F.col("edited")).alias("edited_sha256"), vector(F.col("edited")).alias("edited_vector"))
     return both.select(
