@@ -8,17 +8,17 @@ its sketch. Documents with equal sets are one node from the start. Then:
    order, rarest first, they share one among the first ``len(sketch) - least_shared + 1``.
    Only those are listed: values of passages that very many documents share come last and
    are listed only for documents that consist of little else.
-2. *Stars.* In each list the node with the most common values, the likely original, is
-   paired with every other node: as many pairs as entries.
-3. *Estimate.* The union of two sketches has a sketch of its own, whose shared part estimates
-   the similarity; a pair that falls short of any plausible estimate is dropped.
-4. *Verification.* The full sets are built from the texts and compared exactly.
-5. *Components* of the verified links.
-6. *The rest.* Only pairs from different components can still matter. While the lists hold
-   too many of those, another star round takes the next node of each list; then all that
-   are left are paired, those outside a list's largest component with every other node, and
-   go through 3 to 5. So no link between components is left out, and copies of copies are
-   never paired with each other.
+2. *Centres.* In each list the node with the most common values, the likely original, is
+   paired with every other node: as many pairs as entries. The union of two sketches has a
+   sketch of its own, whose shared part estimates the similarity; a pair that falls short of
+   any plausible estimate is dropped. Of the others the full sets are built from the texts
+   and compared exactly, and the links give components.
+3. *Strays.* Any two nodes of a list have its centre in common, so what is left are pairs of
+   nodes around one centre, at least one of them outside the centre's component. Strays are
+   held against all nodes around their centre in blocks of bounded size, sets of too
+   different sizes apart: a block compares the full sets of its two sides at once, as a
+   product of indicator matrices, and gives one link for each stray and other component.
+   Nodes within the centre's component are never paired with each other.
 
 The chance that a pair of exactly the threshold's similarity shares fewer than LEAST_SHARED
 of K values is below 1e-6; sets up to 0.8 K are compared as a whole, without chance.
@@ -48,8 +48,8 @@ K, LEAST_SHARED = 32, 13
 SIMILAR = 80
 #: Words of a shingle where nothing else is said.
 WIDTH = 5
-#: Star rounds at most, and the pairs of different components for each list entry that end them.
-STAR_ROUNDS, PAIRS_PER_ENTRY = 4, 8
+#: Nodes of one side of a block, on average, and columns of an indicator matrix at most.
+BLOCK, COLUMNS = 512, 8192
 REMEMBERED = 300_000
 
 
@@ -136,30 +136,98 @@ def _sizes_fit(n: str, m: str) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * SIMILAR
 
 
-def _stars(open_lists: DataFrame) -> DataFrame:
-    """``a, b``: every entry with its list's centre, if their sizes and components allow a new link."""
-    centre = F.max(F.struct("common", (-F.col("node")).alias("order"), "node", "n", "component")).alias("centre")
-    centres = open_lists.where(~F.col("done")).groupBy("value").agg(centre)
-    pairs = open_lists.join(centres, "value").where(
-        (F.col("component") != F.col("centre.component")) & _sizes_fit("n", "centre.n")
-    )
-    return pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct()
+def _around(lists: DataFrame) -> DataFrame:
+    """``centre, centre_n, node, n``: the nodes around each centre, the centre itself among them."""
+    centre = F.max(F.struct("common", (-F.col("node")).alias("order"), "node", "n")).alias("c")
+    centres = lists.groupBy("value").agg(centre, F.count("*").alias("size")).where(F.col("size") > 1)
+    named = centres.select("value", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
+    return lists.join(named, "value").select("centre", "centre_n", "node", "n").distinct()
+
 
+def _strays(around: DataFrame, components: DataFrame) -> DataFrame:
+    """Strays and the nodes around their centres, dealt to pairs of blocks.
 
-def _rest(open_lists: DataFrame) -> DataFrame:
-    """``a, b``: all pairs of different components that share a list, once."""
-    groups = open_lists.groupBy("value", "component").agg(F.count("*").alias("size"))
-    largest = groups.groupBy("value").agg(F.max(F.struct("size", "component")).alias("largest"))
-    marked = open_lists.join(largest.select("value", F.col("largest.component").alias("largest")), "value")
-    others = marked.where(F.col("component") != F.col("largest")).select(
-        "value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a")
+    A block is a part of the nodes of one centre and one class of sizes, drawn by a hash;
+    the parts' numbers follow from counts. ``side`` a has the strays, side b all nodes.
+    """
+    found = components.withColumnRenamed("component", "found")
+    own = around.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).drop("found")
+    home = found.withColumnsRenamed({"node": "centre", "found": "home"})
+    own = own.join(home, "centre", "left").withColumn("stray", F.col("component") != F.coalesce("home", "centre"))
+    # sets that are similar enough are in one class or in neighbouring ones
+    own = own.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int"))
+    parts = lambda count: F.ceil(count / BLOCK).cast("int")
+    counts = (
+        own.groupBy("centre", "class")
+        .agg(parts(F.count("*")).alias("parts_b"), parts(F.count_if("stray")).alias("parts_a"))
+        .withColumnRenamed("class", "other")
     )
-    pairs = others.join(marked, "value").where(
-        (F.col("component") != F.col("component_a"))
-        & ((F.col("component") == F.col("largest")) | (F.col("a") < F.col("node")))
-        & _sizes_fit("n", "n_a")
+    with_strays = counts.where(F.col("parts_a") > 0)
+    part = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
+    near = F.abs(F.col("class") - F.col("other")) <= 1
+    sizes = counts.withColumnsRenamed({"other": "class", "parts_a": "own_a", "parts_b": "own_b"})
+    own = own.join(with_strays.select("centre").distinct(), "centre", "left_semi").join(sizes, ["centre", "class"])
+    block = ["centre", "class_a", "part_a", "class_b", "part_b", "side", "node", "component"]
+    side_a = (
+        own.where("stray")
+        .join(counts.select("centre", "other", "parts_b"), "centre")
+        .where(near)
+        .withColumn("part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)))
+        .withColumns({"class_a": F.col("class"), "part_a": part(F.col("own_a")), "class_b": F.col("other"), "side": F.lit("a")})
     )
-    return pairs.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    side_b = (
+        own.join(with_strays.select("centre", "other", "parts_a"), "centre")
+        .where(near)
+        .withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1)))
+        .withColumns({"class_b": F.col("class"), "part_b": part(F.col("own_b")), "class_a": F.col("other"), "side": F.lit("b")})
+    )
+    return side_a.select(*block).unionByName(side_b.select(*block))
+
+
+def common_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of one side shares with each of the other."""
+    both = np.intersect1d(np.unique(np.concatenate(left)), np.unique(np.concatenate(right)))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    for at in range(0, len(both), COLUMNS):
+        some = both[at : at + COLUMNS]
+        sides = []
+        for sets in (left, right):
+            matrix = np.zeros((len(sets), len(some)), dtype=np.float32)
+            for row, values in enumerate(sets):
+                place = np.minimum(np.searchsorted(some, values), len(some) - 1)
+                matrix[row, place[some[place] == values]] = 1
+            sides.append(matrix)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _links_of_strays(strays: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``a, b`` of similar pairs from different components, one for each stray and component."""
+
+    def compare(block: pd.DataFrame) -> pd.DataFrame:
+        a, b = block[block["side"] == "a"], block[block["side"] == "b"]
+        links = []
+        if len(a) and len(b):
+            left, right = ([shingle_set(t, width) for t in side["text"]] for side in (a, b))
+            common = common_sizes(left, right)
+            sizes = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
+            apart = a["component"].to_numpy()[:, None] != b["component"].to_numpy()[None, :]
+            rows, places = np.nonzero(apart & (100 * common >= SIMILAR * (sizes - common)))
+            found = pd.DataFrame(
+                {
+                    "a": a["node"].to_numpy()[rows],
+                    "b": b["node"].to_numpy()[places],
+                    "component": b["component"].to_numpy()[places],
+                }
+            )
+            links.append(found.drop_duplicates(["a", "component"])[["a", "b"]])
+        return pd.concat(links) if links else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+
+    places = strays.join(nodes.select("node", "id_key", "version"), "node")
+    texts = keyed(docs).select("id_key", "version", "text")
+    dealt = places.join(texts, ["id_key", "version"]).drop("id_key", "version")
+    block = ["centre", "class_a", "part_a", "class_b", "part_b"]
+    return dealt.groupBy(*block).applyInPandas(compare, "a long, b long")
 
 
 def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -200,55 +268,14 @@ def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document, and ``id_key, version, component``."""
     sketches = write_and_reread(sketched(docs, width), "sketches")
     nodes = write_and_reread(_nodes(sketches), "nodes")
-    lists = write_and_reread(_lists(nodes).withColumn("done", F.lit(False)), "lists")
-    links, components, rounds, last = None, None, 0, False
-    while not last:
-        open_lists = _open(lists, components)
-        if rounds:
-            open_lists = write_and_reread(open_lists, "open")
-            pending, entries = _pending(open_lists)
-            if not pending:
-                break
-            last = rounds >= STAR_ROUNDS or pending <= PAIRS_PER_ENTRY * entries
-        pairs = _rest(open_lists) if last else _stars(open_lists)
-        plausible = write_and_reread(_plausible(pairs, nodes), "pairs")
-        found = write_and_reread(_verified(plausible, docs, width), "links")
-        links = found if links is None else links.unionByName(found)
-        components = connected(links)
-        rounds += 1
-        if not last:
-            lists = _without_centres(open_lists, lists)
-    return _labelled(sketches, nodes, components)
-
-
-def _open(lists: DataFrame, components: DataFrame | None) -> DataFrame:
-    """The entries of lists that span several components."""
-    if components is None:
-        return lists.withColumn("component", F.col("node"))
-    known = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = known.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return known.join(spread.where(F.col("low") != F.col("high")).select("value"), "value", "left_semi")
-
-
-def _pending(open_lists: DataFrame) -> tuple[int, int]:
-    """How many pairs of different components the lists hold, and how many entries."""
-    groups = open_lists.groupBy("value", "component").agg(F.count("*").alias("size"))
-    sizes = groups.groupBy("value").agg(
-        F.sum("size").alias("all"), F.sum(F.col("size").cast("double") * F.col("size")).alias("within")
-    )
-    row = sizes.agg(
-        F.sum((F.col("all").cast("double") * F.col("all") - F.col("within")) / 2).alias("pairs"), F.sum("all").alias("entries")
-    ).first()
-    return int(row["pairs"] or 0), int(row["entries"] or 0)
-
-
-def _without_centres(open_lists: DataFrame, lists: DataFrame) -> DataFrame:
-    """The lists with the centres of this round marked: they have met every other entry."""
-    centre = F.max(F.struct("common", (-F.col("node")).alias("order"), "node")).alias("centre")
-    centres = open_lists.where(~F.col("done")).groupBy("value").agg(centre)
-    centres = centres.select("value", F.col("centre.node").alias("centre"))
-    marked = lists.join(centres, "value", "left").withColumn("done", F.col("done") | F.coalesce(F.col("node") == F.col("centre"), F.lit(False)))
-    return write_and_reread(marked.drop("centre"), "lists")
+    lists = write_and_reread(_lists(nodes), "lists")
+    around = write_and_reread(_around(lists), "around")
+    stars = around.where((F.col("node") != F.col("centre")) & _sizes_fit("n", "centre_n"))
+    pairs = _plausible(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), nodes)
+    links = write_and_reread(_verified(pairs, docs, width), "links")
+    strays = _strays(around, connected(links))
+    more = write_and_reread(_links_of_strays(strays, nodes, docs, width), "strays")
+    return _labelled(sketches, nodes, connected(links.unionByName(more)))
 
 
 def _labelled(sketches: DataFrame, nodes: DataFrame, components: DataFrame) -> DataFrame:
