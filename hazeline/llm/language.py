@@ -24,10 +24,11 @@ from pyspark.sql import functions as F
 
 from hazeline.llm.common import held_out
 
-BUCKETS = 1 << 13
+BUCKET_BITS = 12
+BUCKETS = 1 << BUCKET_BITS
 WIDTH = 12
 #: Documents of each language in the sample, about, and of all languages at most.
-SAMPLE_EACH, SAMPLE = 1_000, 5_000
+SAMPLE_EACH, SAMPLE = 700, 3_500
 #: Languages learned at most, the most frequent ones.
 LANGUAGES = 500
 EPOCHS, BATCH, RATE = 12, 64, 2.0
@@ -44,7 +45,7 @@ def _buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     d = data.astype(np.uint32)
     three = d[:-2] * np.uint32(0x9E3779B1) + d[1:-1] * np.uint32(0x85EBCA77) + d[2:] * np.uint32(0xC2B2AE3D)
     four = (three[:-1] ^ np.uint32(0x5BD1E995)) + d[3:] * np.uint32(0x27D4EB2F)
-    mix = lambda h: ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - 13)
+    mix = lambda h: ((h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BUCKET_BITS)
     return mix(three), mix(four)
 
 
