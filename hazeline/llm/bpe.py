@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 #: Ends a word; it is no letter of the byte-level alphabet.
 END = "\n"
-#: Distinct runs of non-space text remembered by one worker, about 150 MB; beyond it the memory starts anew.
-REMEMBERED = 600_000
+#: Distinct runs of non-space text remembered by one worker, about 100 MB; beyond it the memory starts anew.
+REMEMBERED = 400_000
 #: Ids decoded at once, which bounds the working arrays of a very long text.
 DECODED_AT_ONCE = 1 << 18
 #: Words whose bytes are their own letters.

@@ -50,7 +50,7 @@ SIMILAR = 80
 WIDTH = 5
 #: Nodes of one side of a block, on average, and columns of an indicator matrix at most.
 BLOCK, COLUMNS = 512, 8192
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 
 class _WordHashes(dict):
