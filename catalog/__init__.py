@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "features")
+MODULES = ("cleaning", "features", "reports", "scoring")
 
 
 def all_queries():

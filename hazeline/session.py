@@ -25,10 +25,13 @@ def local_session(cores="*", memory="20g", shuffle_partitions=8) -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as ``spark.checkpoint.dir`` names it.
 
-    Only where the cluster names none (a bare local session) is one made up.
+    A local session that names none gets a folder of its own. Elsewhere a folder of one
+    machine would lose parts of what the others write, so there must be a shared one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="hazeline-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder
