@@ -24,6 +24,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazeline.llm.common import id_text
+
 #: Ends a word; it is no letter of the byte-level alphabet.
 END = "\n"
 #: Distinct runs of non-space text remembered by one worker, about 100 MB; beyond it the memory starts anew.
@@ -270,5 +272,6 @@ def encoded(spark: SparkSession, docs: DataFrame, path: str, keep_ids: bool = Fa
             out.insert(0, "doc_id", batch["doc_id"].to_numpy())
             yield out
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInPandas(run, schema)
+    schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
+    rows = docs.select(id_text(), F.col(f"`{text}`").alias("text")).mapInPandas(run, schema)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))

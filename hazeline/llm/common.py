@@ -27,6 +27,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit(""))) % FOLDS == 0
 
 
+def id_text(doc_id: str = "doc_id") -> Column:
+    """The id as text for pandas, which would make whole numbers with nulls floats."""
+    return F.col(f"`{doc_id}`").cast("string").alias("doc_id")
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 

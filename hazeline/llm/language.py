@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import held_out
+from hazeline.llm.common import held_out, id_text
 
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
@@ -187,5 +187,6 @@ def identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 }
             )
 
-    schema = "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean"
-    return docs.select("doc_id", held_out().alias("held_out"), "text").mapInPandas(run, schema)
+    schema = "doc_id string, held_out boolean, lang_pred string, score double, rejected boolean"
+    rows = docs.select(id_text(), held_out().alias("held_out"), "text").mapInPandas(run, schema)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))

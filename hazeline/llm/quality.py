@@ -172,10 +172,10 @@ def fit(x: np.ndarray, y: np.ndarray) -> Model:
     """Cyclic boosting on the driver; ``x`` has at most SAMPLE rows."""
     n_features = len(FEATURES)
     share = float(np.mean(y)) if len(y) else 0.5
-    if not 0 < share < 1:
-        share = 0.5 if not len(y) else share
-        margin = float(np.log(max(share, 1e-3) / max(1 - share, 1e-3)))
-        return Model(margin, [np.array([])] * n_features, [np.zeros(1)] * n_features, [np.array([])] * n_features, [], [])
+    if not len(y) or share in (0, 1):
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        flat, none = [np.zeros(1)] * n_features, [np.zeros(0)] * n_features
+        return Model(float(np.log(share / (1 - share))), none, flat, none, [], [])
     edges = [_edges(x[:, j], BINS) for j in range(n_features)]
     bins = [np.searchsorted(e, x[:, j], side="right") for j, e in enumerate(edges)]
     tables = [np.zeros(len(e) + 1) for e in edges]

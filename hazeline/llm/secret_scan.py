@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import sha256, text_or_empty
+from hazeline.llm.common import id_text, sha256, text_or_empty
 
 KINDS = ["assign", "access", "hex", "markov"]
 ASSIGN = re.compile(
@@ -34,8 +34,9 @@ HINTS = ("passw", "secret", "token", "api")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 #: Log-likelihood ratio, in nats, that makes a token a secret: in all, and for each character.
 LEAST_RATIO, LEAST_EACH = 30.0, 2.0
-#: Weight of the uniform distribution in each row of the models, as a count.
-UNIFORM = {"random": 400.0, "ordinary": 1.0}
+#: What each row of a model is smoothed with, as a count: all characters alike, since a random
+#: string may be of any alphabet, or the kind's own frequencies, since ordinary text has few digits.
+SMOOTHING = {"random": 400.0, "ordinary": 1.0}
 
 LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 SIZE = len(LETTERS) + 1  # class 0: anything else, and the border of a string
@@ -103,7 +104,9 @@ class Model:
 def model_of(counts: dict[str, np.ndarray]) -> Model:
     logs = {}
     for kind, table in counts.items():
-        table = table.reshape(SIZE, SIZE) + UNIFORM[kind] / SIZE
+        own = table.reshape(SIZE, SIZE).sum(axis=0) + 1
+        rest = own / own.sum() if kind == "ordinary" else 1 / SIZE
+        table = table.reshape(SIZE, SIZE) + SMOOTHING[kind] * rest
         logs[kind] = np.log(table / table.sum(axis=1, keepdims=True))
     return Model((logs["random"] - logs["ordinary"]).ravel())
 
@@ -112,7 +115,7 @@ def trained(docs: DataFrame) -> Model:
     """Counts pairs over all documents; a table of 2 * SIZE ** 2 numbers comes back."""
 
     def counted(batches):
-        tables = {kind: np.zeros(SIZE * SIZE, dtype=np.int64) for kind in UNIFORM}
+        tables = {kind: np.zeros(SIZE * SIZE, dtype=np.int64) for kind in SMOOTHING}
         for batch in batches:
             for text in batch["text"]:
                 _count(text, **tables)
@@ -121,7 +124,7 @@ def trained(docs: DataFrame) -> Model:
             yield pd.DataFrame({"kind": kind, "pair": places, "n": table[places]})
 
     pairs = docs.select(text_or_empty().alias("text")).mapInPandas(counted, "kind string, pair int, n long")
-    counts = {kind: np.zeros(SIZE * SIZE) for kind in UNIFORM}
+    counts = {kind: np.zeros(SIZE * SIZE) for kind in SMOOTHING}
     for row in pairs.groupBy("kind", "pair").agg(F.sum("n").alias("n")).collect():
         counts[row["kind"]][row["pair"]] = row["n"]
     return model_of(counts)
@@ -136,8 +139,9 @@ def found(docs: DataFrame, model: Model | None = None) -> DataFrame:
             spans = [[{"start": a, "end": b, "kind": k} for a, b, k in model.spans(t)] for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "spans": spans})
 
-    schema = "doc_id long, spans array<struct<start: int, end: int, kind: string>>"
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInPandas(run, schema)
+    schema = "doc_id string, spans array<struct<start: int, end: int, kind: string>>"
+    rows = docs.select(id_text(), text_or_empty().alias("text")).mapInPandas(run, schema)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def scanned(docs: DataFrame, model: Model | None = None) -> DataFrame:
