@@ -36,10 +36,10 @@ LEAST_VALUE, LEAST_ACCESS = 6, 20
 LEAST_RATIO, LEAST_EACH = 30.0, 2.0
 #: What each row of a model is smoothed with, as a count: all characters alike, since a random
 #: string may be of any alphabet, or the kind's own frequencies, since ordinary text has few digits.
-SMOOTHING = {"random": 400.0, "ordinary": 1.0}
+SMOOTHING = {"random": 400.0, "ordinary": 20.0}
 
-LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-SIZE = len(LETTERS) + 1  # class 0: anything else, and the border of a string
+LETTERS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+SIZE = len(LETTERS) + 1  # class 0: anything else, the signs between an identifier's words among it, and borders
 CLASS = np.zeros(256, dtype=np.int64)
 CLASS[list(LETTERS.encode())] = np.arange(1, SIZE)
 
@@ -66,11 +66,18 @@ def _pairs(text: str) -> np.ndarray:
     return classes[:-1] * SIZE + classes[1:]
 
 
+def _undecided(text: str) -> list[tuple[int, int]]:
+    """Long tokens of letters and digits, which may be secrets and teach neither model."""
+    return [m.span() for m in TOKEN.finditer(text) if not m[0].isalpha() and any(map(str.isdigit, m[0]))]
+
+
 def _count(text: str, random: np.ndarray, ordinary: np.ndarray) -> None:
     at, rest = 0, []
-    for start, end, kind in base_spans(text):
+    base = base_spans(text)
+    for start, end, kind in base:
         if kind != "assign":
             random += np.bincount(_pairs(text[start:end]), minlength=SIZE * SIZE)
+    for start, end in sorted([span[:2] for span in base] + _undecided(text)):
         if start > at:
             rest.append(text[at:start])
         at = max(at, end)
