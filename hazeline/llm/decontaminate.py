@@ -124,7 +124,7 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     words = texts.select("doc_id", "version", words_of(F.col("text")).alias("words"))
     near = reduce(DataFrame.unionByName, [_cut_hits(words, grams, width, rows) for width in sorted(sizes)])
     places = near.groupBy("doc_id", "version").agg(F.collect_set("run").alias("runs"))
-    suspects = _same(texts.dropDuplicates(["doc_id", "version"]), places, "inner")
+    suspects = _same(texts, places, "inner").dropDuplicates(["doc_id", "version"])
     window_at = lambda s: F.struct(s["width"].alias("width"), s["at"].alias("at"), _key(F.col("words"), s["at"], s["width"]).alias("words"))
     looked_up = suspects.select("doc_id", "version", words_of(F.col("text")).alias("words"), _starts(F.col("runs")).alias("starts")).select(
         "doc_id", "version", F.explode(F.transform("starts", window_at)).alias("w")
