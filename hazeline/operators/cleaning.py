@@ -107,7 +107,7 @@ def clean_series(df: DataFrame, layout: Layout = DEFAULT, limit: int = 3, factor
     written once, since the quartiles and the caller both read it. The result
     carries fresh positions for feature building.
     """
-    kept = drop_incomplete(interpolate_time(df, MEASURES, limit, layout), MEASURES)
+    kept = drop_incomplete(interpolate_time(nan_to_null(df), MEASURES, limit, layout), MEASURES)
     numbered = series.stage_numbered(kept, layout, "filled")
     return clip_negative(cap_outliers(numbered, MEASURES, factor, layout))
 
