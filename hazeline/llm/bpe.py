@@ -28,8 +28,11 @@ from hazeline.llm.common import id_text
 
 #: Ends a word; it is no letter of the byte-level alphabet.
 END = "\n"
-#: Distinct runs of non-space text remembered by one worker, about 100 MB; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Distinct runs of non-space text remembered by one worker, and pairs of tokens, about 80 MB;
+#: beyond them the memory starts anew.
+REMEMBERED, PAIRS = 250_000, 150_000
+#: Rows of an output batch, whose ids take many times the room of their texts.
+ROWS = 512
 #: Ids decoded at once, which bounds the working arrays of a very long text.
 DECODED_AT_ONCE = 1 << 18
 #: Words whose bytes are their own letters.
@@ -137,8 +140,9 @@ class Codec:
                 limit, pair = a, (self.halves[left][1], right)
             else:  # merges of one rank go from the left, so the border's came before the right token's
                 limit, pair = b + 1, (left, self.halves[right][0])
-        pair = (first, second)
-        self.compatible[pair] = answer
+        if len(self.compatible) >= PAIRS:
+            self.compatible.clear()
+        self.compatible[first, second] = answer
         return answer
 
     def encode_word(self, word: str) -> bytes:
@@ -260,17 +264,18 @@ def encoded(spark: SparkSession, docs: DataFrame, path: str, keep_ids: bool = Fa
 
     def run(batches):
         codec = _codec(key, shared)
+        names = ["n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * keep_ids]
         for batch in batches:
-            rows = []
-            for content in batch["text"]:
-                ids = codec.encode(content or "")
-                numbers = np.frombuffer(ids, dtype="<u4")
-                row = [len(numbers), hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(numbers)).hexdigest()]
-                rows.append([*row, numbers.astype(np.int32)] if keep_ids else row)
-            names = ["n_tokens", "ids_sha256", "decoded_sha256", *["token_ids"] * keep_ids]
-            out = pd.DataFrame(rows, columns=names)
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+            for at in range(0, len(batch), ROWS):
+                some, rows = batch.iloc[at : at + ROWS], []
+                for content in some["text"]:
+                    ids = codec.encode(content or "")
+                    numbers = np.frombuffer(ids, dtype="<u4")
+                    digests = [hashlib.sha256(ids).hexdigest(), hashlib.sha256(codec.decode(numbers)).hexdigest()]
+                    rows.append([len(numbers), *digests, *[numbers.view(np.int32)] * keep_ids])
+                out = pd.DataFrame(rows, columns=names)
+                out.insert(0, "doc_id", some["doc_id"].to_numpy())
+                yield out
 
     schema = "doc_id string, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * keep_ids
     rows = docs.select(id_text(), F.col(f"`{text}`").alias("text")).mapInPandas(run, schema)
