@@ -3,61 +3,91 @@
 Row-counting windows are not defined on streams, so each micro-batch is joined
 to the newest rows of every city seen so far and goes through the batch feature
 code. That context is a small table of ``spec.reach`` rows per city.
+
+Rows may arrive out of order: a city's rows are held until its newest row is past
+them by the allowed lateness, and then leave in the order of time. What comes later
+still is written to a table of its own, so nothing vanishes.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazeline import series
 from hazeline.operators.features import TRAIN, FeatureSpec, add_features
 from hazeline.series import DEFAULT, Layout
+from hazeline.streaming.ingest import LATENESS
+
+READY, HELD, LATE = "ready", "held", "late"
 
 
-def feature_batch(context: DataFrame | None, fresh: DataFrame, spec: FeatureSpec, layout: Layout = DEFAULT):
-    """Features of the fresh rows, and all rows the next context is cut from.
+def placed(context: DataFrame | None, arrived: DataFrame, layout: Layout = DEFAULT, lateness: str = LATENESS):
+    """``arrived`` with a column ``_state``: ready to leave, held, or late.
 
-    Rows not newer than their city's context are late and left out.
+    Late are rows not newer than a row of their city that already left, and rows
+    without a city or a time. The limits are one row per city; adaptive execution
+    picks the join from their measured size.
     """
-    rows = fresh.withColumn("_new", F.lit(True))
+    time = F.col(layout.time)
+    limits = arrived.groupBy(layout.key).agg(F.max(time).alias("_newest"))
+    if context is None:
+        limits = limits.withColumn("_closed", F.lit(None).cast("timestamp"))
+    else:
+        limits = limits.join(context.groupBy(layout.key).agg(F.max(time).alias("_closed")), layout.key, "left")
+    late = F.col(layout.key).isNull() | time.isNull() | F.coalesce(time <= F.col("_closed"), F.lit(False))
+    ready = time <= F.col("_newest") - F.expr(f"INTERVAL {lateness}")
+    return (
+        arrived.join(limits, layout.key, "left")
+        .withColumn("_state", F.when(late, LATE).when(ready, READY).otherwise(HELD))
+        .drop("_newest", "_closed")
+    )
+
+
+def feature_batch(context: DataFrame | None, ready: DataFrame, spec: FeatureSpec, layout: Layout = DEFAULT):
+    """Features of the ready rows, and all rows the next context is cut from."""
+    rows = ready.withColumn("_new", F.lit(True))
     if context is not None:
-        seen = context.groupBy(layout.key).agg(F.max(layout.time).alias("_seen"))
-        # The context holds a fixed number of rows per city; adaptive execution
-        # picks the join from its measured size.
-        rows = (
-            rows.join(seen, layout.key, "left")
-            .where(F.col("_seen").isNull() | (F.col(layout.time) > F.col("_seen")))
-            .drop("_seen")
-            .unionByName(context.withColumn("_new", F.lit(False)))
-        )
+        rows = rows.unionByName(context.withColumn("_new", F.lit(False)))
     featured = add_features(series.number_rows(rows, layout), spec, layout)
     new = series.drop_bookkeeping(featured.where(F.col("_new"))).drop("_new")
     return new, rows.drop("_new")
 
 
+def _step(fresh: DataFrame, batch_id: int, path: str, state_path: str, spec, layout, lateness) -> None:
+    """One batch: read what the previous one left, write features, late rows and new state."""
+    spark, columns = fresh.sparkSession, fresh.columns
+    context, arrived = None, fresh
+    if batch_id > 0:
+        before = f"{state_path}/{(batch_id - 1) % 2}"
+        context = spark.read.schema(fresh.schema).parquet(f"{before}/context")
+        arrived = fresh.unionByName(spark.read.schema(fresh.schema).parquet(f"{before}/held"))
+    sorted_out = placed(context, arrived, layout, lateness).persist()  # read once for each state
+
+    def of(state):
+        return sorted_out.where(F.col("_state") == state).select(*columns)
+
+    features, rows = feature_batch(context, of(READY), spec, layout)
+    features.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    of(LATE).write.mode("overwrite").parquet(f"{state_path}/late/batch_id={batch_id}")
+    after = f"{state_path}/{batch_id % 2}"
+    series.last_rows(rows.select(*columns), spec.reach, layout).write.mode("overwrite").parquet(f"{after}/context")
+    of(HELD).write.mode("overwrite").parquet(f"{after}/held")
+    sorted_out.unpersist()
+
+
 def feature_stream(
-    readings: DataFrame, path: str, context_path: str, checkpoint: str,
-    spec: FeatureSpec = TRAIN, layout: Layout = DEFAULT,
+    readings: DataFrame, path: str, state_path: str, checkpoint: str,
+    spec: FeatureSpec = TRAIN, layout: Layout = DEFAULT, lateness: str = LATENESS,
 ) -> StreamingQuery:
     """Write features of a stream of hourly readings, one folder per micro-batch.
 
-    A batch reads the context the previous one wrote and overwrites only its own
-    output and context, so replaying it after a failure gives the same tables.
-    Two context folders in turn are enough.
+    A batch reads the state the previous one wrote and overwrites only its own
+    output and state, so replaying it after a failure gives the same tables. Two
+    state folders in turn are enough. Late rows go to ``state_path``/late.
     """
-    columns = readings.columns
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        context = None
-        if batch_id > 0:
-            context = spark.read.schema(batch.schema).parquet(f"{context_path}/{(batch_id - 1) % 2}")
-        batch = batch.persist()  # read by the counts, the windows and the context
-        features, rows = feature_batch(context, batch, spec, layout)
-        features.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-        kept = series.last_rows(rows.select(*columns), spec.reach, layout)
-        kept.write.mode("overwrite").parquet(f"{context_path}/{batch_id % 2}")
-        batch.unpersist()
+        _step(batch, batch_id, path, state_path, spec, layout, lateness)
 
     return (
         readings.writeStream.foreachBatch(process)
@@ -65,3 +95,11 @@ def feature_stream(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def release_held(
+    spark: SparkSession, schema, last_batch: int, path: str, state_path: str,
+    spec: FeatureSpec = TRAIN, layout: Layout = DEFAULT,
+) -> None:
+    """Features of the rows still held, once a stream has ended after ``last_batch``."""
+    _step(spark.createDataFrame([], schema), last_batch + 1, path, state_path, spec, layout, "0 hours")
