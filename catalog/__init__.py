@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "features", "reports", "scoring")
+MODULES = ("cleaning", "features", "reports", "scoring", "ingest", "models")
 
 
 def all_queries():

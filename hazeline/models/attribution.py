@@ -46,11 +46,14 @@ def tree_attributions(df: DataFrame, predictor: TreePredictor, keys=("city", "ti
     """
     inputs = [F.col(n).cast("double").alias(f"_x{i}") for i, n in enumerate(predictor.features)]
     schema = T.StructType([df.schema[k] for k in keys])
-    schema = schema.add("base", "double").add("prediction", "double").add("phi", "array<double>")
+    schema = schema.add("base", "double").add("prediction", "double").add("phi", T.ArrayType(T.DoubleType()))
     width = len(predictor.features)
+    # Tables of all leaves, a size set by the model alone; built once and sent to each executor once.
+    games = df.sparkSession.sparkContext.broadcast((predictor, *leaf_games(predictor)))
+    keys = list(keys)
 
     def explain(batches):
-        base, leaves = leaf_games(predictor)
+        predictor, base, leaves = games.value
         for batch in batches:
             matrix = batch[[f"_x{i}" for i in range(width)]].to_numpy(dtype=float)
             phi = np.zeros_like(matrix)
@@ -59,7 +62,7 @@ def tree_attributions(df: DataFrame, predictor: TreePredictor, keys=("city", "ti
                 inside = (values > low) & (values <= high)
                 code = inside @ (1 << np.arange(len(features)))
                 phi[:, features] += gains[code]
-            out = batch[list(keys)].copy()
+            out = batch[keys].copy()
             out["base"] = base
             out["prediction"] = predictor.predict(matrix)
             out["phi"] = list(phi)

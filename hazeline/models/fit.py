@@ -3,11 +3,13 @@
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from hazeline.functions.aqi import clamp_index
 from hazeline.operators.features import SERVE
@@ -19,7 +21,8 @@ INPUTS = "features"
 
 def feature_columns(df: DataFrame, target: str = TARGET, keys=("city", "timestamp", "split")) -> list[str]:
     """Every numeric column that is neither key, target nor bookkeeping."""
-    return [n for n in df.columns if n != target and n not in keys and not n.startswith("_")]
+    numeric = [field.name for field in df.schema if isinstance(field.dataType, NumericType)]
+    return [n for n in numeric if n != target and n not in keys and not n.startswith("_")]
 
 
 def assembler(features) -> VectorAssembler:
@@ -141,12 +144,13 @@ def load_model(path: str) -> PipelineModel:
 
 def model_features(spark: SparkSession, path: str | None = None) -> list[str]:
     """Inputs of the saved model, or the serving preset's when none is saved."""
-    if path is not None:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if files.exists(folder):
-            return load_model(path).stages[0].getInputCols()
-    return SERVE.names
+    if path is None:
+        return SERVE.names
+    try:
+        spark.read.text(f"{path}/metadata").schema  # resolves the path
+    except AnalysisException:
+        return SERVE.names
+    return load_model(path).stages[0].getInputCols()
 
 
 def check_width(model: PipelineModel) -> bool:

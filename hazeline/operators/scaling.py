@@ -41,7 +41,10 @@ def scale(df: DataFrame, scaler: DataFrame, features, layout: Layout = DEFAULT)
         joined = series.join_per_city(df, scaler, layout)
     else:
         # A grouping without keys is one row by construction.
-        joined = df.join(F.broadcast(scaler))
+        wanted = {f"{n}_{p}" for n in features for p in ("mean", "scale")}
+        if not wanted <= set(scaler.columns) or any(not c.endswith(("_mean", "_scale")) for c in scaler.columns):
+            raise ValueError(f"a scaler by another key than {layout.key} cannot be joined")
+        joined = df.join(F.broadcast(scaler.limit(1)))
     scaled = {n: (F.col(n).cast("double") - F.col(f"{n}_mean")) / F.col(f"{n}_scale") for n in features}
     return joined.withColumns(scaled).drop(*[f"{n}_{p}" for n in features for p in ("mean", "scale")])
 
