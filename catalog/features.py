@@ -167,6 +167,25 @@ def calendar_parts(spark, sf_dir):
     return rounded(rows.select("event_id", *[e.alias(n) for n, e in SERVE.time_features(F.col("ts")).items()]))
 
 
+def _register_calendar_year(kind, spec):
+    """Calendar features over all days of a leap year, since the events lie in one month."""
+    parts = time_sql("ts", kind)
+
+    def run(spark, sf_dir):
+        shifted = F.col("ts").cast("timestamp") + F.make_dt_interval((F.col("event_id") % 366).cast("int"))
+        rows = events(spark, sf_dir).select("event_id", shifted.alias("ts"))
+        return rounded(rows.select("event_id", *[e.alias(n) for n, e in spec.time_features(F.col("ts")).items()]))
+
+    run.__name__ = f"calendar_year_{kind}"
+    shown = ", ".join(f"{e} AS {n}" if _is_int(n) else r(e, n) for n, e in parts.items())
+    query("T3 T4 T5 T6 T7 T8", f"SELECT event_id, {shown} FROM "
+          "(SELECT event_id, ts + to_days(cast(event_id % 366 AS INTEGER)) AS ts FROM events)")(run)
+
+
+for _kind, _spec in {"train": TRAIN, "explain": EXPLAIN, "serve": SERVE}.items():
+    _register_calendar_year(_kind, _spec)
+
+
 @query("T9 X4", "SELECT event_id, strftime(ts, '%a') AS day_name, dayname(ts)[1:3] AS cut_name FROM events")
 def day_names(spark, sf_dir):
     ts = F.col("ts")

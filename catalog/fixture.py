@@ -12,7 +12,7 @@ from hazeline import series
 from hazeline.functions.aqi import with_aqi
 from hazeline.operators.cleaning import clean_series
 from hazeline.operators.features import build_features
-from hazeline.schemas import BREAKPOINTS, CITY, MEASURES, POLLUTANTS, TIME
+from hazeline.schemas import CITY, MEASURES, POLLUTANTS, TIME
 from hazeline.series import Layout
 
 CITIES = 4
@@ -73,22 +73,36 @@ def replay(spark, sf_dir) -> DataFrame:
 # --- the same in SQL --------------------------------------------------------
 
 
+# Fixed values of the published index, kept apart from the library's own table: the index
+# brackets, and per pollutant the divisors, the score outside all brackets, the reciprocal of
+# the published precision and the concentration brackets.
+_INDEX = ((0, 50), (51, 100), (101, 150), (151, 200), (201, 300), (301, 400), (401, 500))
+_PUBLISHED = {
+    "pm2_5": ((), 500, 10, "0.0-12.0 12.1-35.4 35.5-55.4 55.5-150.4 150.5-250.4 250.5-350.4 350.5-500.4"),
+    "pm10": ((), 500, 1, "0-54 55-154 155-254 255-354 355-424 425-504 505-604"),
+    "no2": ((1.88,), 500, 1, "0-53 54-100 101-360 361-649 650-1249 1250-1649 1650-2049"),
+    "o3": ((1.96,), 300, 1, "0-54 55-70 71-85 86-105 106-200"),
+    "so2": ((2.62,), 500, 1, "0-35 36-75 76-185 186-304 305-604 605-804 805-1004"),
+    "co": ((1000.0, 1.145), 500, 10, "0-4.4 4.5-9.4 9.5-12.4 12.5-15.4 15.5-30.4 30.5-40.4 40.5-50.4"),
+}
+
+
 def sub_index_sql(pollutant: str, value: str, contiguous: bool = False) -> str:
-    table = BREAKPOINTS[pollutant]
+    divisors, outside, unit, brackets = _PUBLISHED[pollutant]
     amount = f"({value})"
-    for divisor in table["divisors"]:
+    for divisor in divisors:
         amount = f"({amount} / '{divisor}'::DOUBLE)"
     if contiguous:
-        unit = round(1 / table["step"])
         amount = f"(floor(round({amount} * {unit}, 6)) / {unit}.0::DOUBLE)"
     arms = []
-    for low, high, index_low, index_high in table["brackets"]:
+    for bracket, (index_low, index_high) in zip(brackets.split(), _INDEX):
+        low, high = map(float, bracket.split("-"))
         slope = (index_high - index_low) / (high - low)
         arms.append(
-            f"WHEN {amount} BETWEEN '{float(low)}'::DOUBLE AND '{float(high)}'::DOUBLE THEN "
-            f"CAST(round_even('{slope}'::DOUBLE * ({amount} - '{float(low)}'::DOUBLE) + {index_low}, 0) AS INTEGER)"
+            f"WHEN {amount} BETWEEN '{low}'::DOUBLE AND '{high}'::DOUBLE THEN "
+            f"CAST(round_even('{slope}'::DOUBLE * ({amount} - '{low}'::DOUBLE) + {index_low}, 0) AS INTEGER)"
         )
-    return f"CASE WHEN {value} IS NULL THEN NULL {' '.join(arms)} ELSE {table['overflow']} END"
+    return f"CASE WHEN {value} IS NULL THEN NULL {' '.join(arms)} ELSE {outside} END"
 
 
 def composite_sql(contiguous: bool = False) -> str:

@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from catalog.fixture import composite_sql, events, readings, sub_index_sql, samples, scored_samples, with_tables
-from catalog.registry import QUERIES, query, r, rounded
+from catalog.registry import query, r, rounded
 from hazeline.functions import aqi
 from hazeline.operators import projection
-from hazeline.schemas import BREAKPOINTS, CATEGORIES, GUIDELINES, POLLUTANTS
+from hazeline.schemas import POLLUTANTS
 
 VALUE_SQL = {p: "value" for p in POLLUTANTS} | {
     "co": "cast(json_extract_string(props, '$.k') AS DOUBLE) * 150.0::DOUBLE"
@@ -31,7 +31,6 @@ def _register_sub_index(pollutant, covers):
 
 for _pollutant, _covers in {"pm2_5": "Q1 Q2", "pm10": "Q3", "no2": "Q4", "o3": "Q5", "so2": "Q6", "co": "Q7"}.items():
     _register_sub_index(_pollutant, _covers)
-assert {f"sub_index_{p}" for p in BREAKPOINTS} <= set(QUERIES)
 
 _READING = ", ".join(POLLUTANTS)
 
@@ -52,17 +51,39 @@ def composite_index_contiguous(spark, sf_dir):
     return aqi.with_aqi(samples(spark, sf_dir), mode="contiguous").select("event_id", "aqi")
 
 
-def category_sql(value: str, part: int = 1) -> str:
+# Fixed values of the health categories, kept apart from the library's own table: the upper
+# limits, and name, colour, tint, icon and message of each category.
+_LIMITS = (50, 100, 150, 200, 300)
+_PARTS = {
+    "category": ("Good", "Moderate", "Unhealthy for Sensitive Groups", "Unhealthy", "Very Unhealthy", "Hazardous"),
+    "color": ("#00E400", "#D4B800", "#FF7E00", "#FF0000", "#8F3F97", "#7E0023"),
+    "tint": ("rgba(0,228,0,0.12)", "rgba(255,215,0,0.12)", "rgba(255,126,0,0.12)", "rgba(255,0,0,0.12)",
+             "rgba(143,63,151,0.12)", "rgba(126,0,35,0.12)"),
+    "icon": ("🟢", "🟡", "🟠", "🔴", "🟣", "⛔"),
+    "message": (
+        "Air quality is satisfactory and poses little or no risk. Enjoy outdoor activities freely.",
+        "Air quality is acceptable. Unusually sensitive individuals should consider reducing prolonged outdoor exertion.",
+        "Sensitive groups may experience health effects. The general public is not likely to be affected.",
+        "Everyone may begin to experience health effects. Limit prolonged outdoor exertion.",
+        "Health alert — everyone may experience serious health effects. Wear N95 masks if going outside.",
+        "🚨 Emergency conditions. Stay indoors, seal windows, use air purifiers.",
+    ),
+}
+# The guideline amount of each pollutant.
+_GUIDELINES = {"pm2_5": 75.0, "pm10": 150.0, "no2": 100.0, "so2": 75.0, "o3": 100.0, "co": 4.0}
+
+
+def category_sql(value: str, part: str = "category") -> str:
     shown = f"greatest(0, cast(trunc(coalesce({value}, 0)) AS INTEGER))"
-    arms = " ".join(f"WHEN {shown} <= {row[0]} THEN '{row[part]}'" for row in CATEGORIES)
-    return f"CASE {arms} ELSE '{CATEGORIES[-1][part]}' END"
+    *named, last = _PARTS[part]
+    arms = " ".join(f"WHEN {shown} <= {limit} THEN '{name}'" for limit, name in zip(_LIMITS, named))
+    return f"CASE {arms} ELSE '{last}' END"
 
 
 @query(
     "Q10",
     "SELECT event_id, greatest(0, cast(trunc(coalesce(scaled, 0)) AS INTEGER)) AS shown, "
-    + ", ".join(f"{category_sql('scaled', i)} AS {n}" for i, n in enumerate(
-        ["category", "color", "tint", "icon", "message"], 1))
+    + ", ".join(f"{category_sql('scaled', part)} AS {part}" for part in _PARTS)
     + " FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value * 3.0::DOUBLE - 20 END AS scaled "
       "FROM events)",
 )
@@ -79,7 +100,7 @@ def _guideline_sql(convert: bool) -> str:
         amount = f"coalesce({name}, 0.0)" + (" / 1000.0::DOUBLE" if convert and name == "co" else "")
         return f"SELECT event_id, '{name}' AS pollutant, {amount} AS amount, {limit}::DOUBLE AS guideline FROM samples"
 
-    union = " UNION ALL ".join(arm(n, limit) for n, limit in GUIDELINES.items())
+    union = " UNION ALL ".join(arm(n, limit) for n, limit in _GUIDELINES.items())
     return with_tables(
         f"SELECT event_id, pollutant, {r('amount')}, guideline, {r('least(amount / guideline * 100.0, 100.0)', 'percent')}, "
         f"least(amount / guideline * 100.0, 100.0) >= 80 AS over_80 FROM ({union})",
