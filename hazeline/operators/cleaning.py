@@ -94,8 +94,12 @@ def cap_outliers(
     series itself).
     """
     bounds = iqr_bounds(df if fit_on is None else fit_on, columns, factor, (layout.key,))
-    capped = series.join_per_city(df, bounds, layout)
-    return capped.withColumns(
+    return clip_to_bounds(series.join_per_city(df, bounds, layout), columns)
+
+
+def clip_to_bounds(df: DataFrame, columns) -> DataFrame:
+    """Clip each column to its row's ``<column>_low`` and ``<column>_high``, which go."""
+    return df.withColumns(
         {c: clip_between(F.col(c), F.col(f"{c}_low"), F.col(f"{c}_high")) for c in columns}
     ).drop(*[f"{c}_{end}" for c in columns for end in ("low", "high")])
 
@@ -108,8 +112,11 @@ def clean_series(df: DataFrame, layout: Layout = DEFAULT, limit: int = 3, factor
     carries fresh positions for feature building.
     """
     kept = drop_incomplete(interpolate_time(nan_to_null(df), MEASURES, limit, layout), MEASURES)
-    numbered = series.stage_numbered(kept, layout, "filled")
-    return clip_negative(cap_outliers(numbered, MEASURES, factor, layout))
+    # The quartiles read the written table itself, not the frame that already joins the positions.
+    bounded = series.stage_numbered(
+        kept, layout, "filled", lambda written: iqr_bounds(written, MEASURES, factor, (layout.key,))
+    )
+    return clip_negative(clip_to_bounds(bounded, MEASURES))
 
 
 def fill_edges(df: DataFrame, columns, layout: Layout = DEFAULT) -> DataFrame:

@@ -91,18 +91,22 @@ def number_rows(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     )
 
 
-def stage_numbered(df: DataFrame, layout: Layout = DEFAULT, label: str = "series") -> DataFrame:
+def stage_numbered(df: DataFrame, layout: Layout = DEFAULT, label: str = "series", per_city=None) -> DataFrame:
     """Write a blocked series whose rows were filtered and number it afresh.
 
     The index within the block needs no further shuffle, and the counts per block
-    come from a narrow scan of the written table.
+    come from a narrow scan of the written table. ``per_city`` may make one row per
+    city from that table; its columns reach all rows with the join that numbers them.
     """
     index = F.row_number().over(block_window(layout))
     kept = [name for name in df.columns if name not in (POS, ROWS, OWN, CHUNK, INDEX)]
     staged = write_and_reread(df.withColumn(INDEX, index).select(*kept, INDEX), label)
     counts = staged.groupBy(layout.key, BLOCK).agg(F.max(INDEX).cast("long").alias("_n"))
+    blocks = _offsets(counts, layout, BLOCK)
+    if per_city is not None:
+        blocks = blocks.join(per_city(staged), layout.key, "left")
     return (
-        staged.join(_offsets(counts, layout, BLOCK), [layout.key, BLOCK])
+        staged.join(blocks, [layout.key, BLOCK])
         .withColumn(POS, F.col("_before") + F.col(INDEX) - 1)
         .drop("_before", INDEX)
     )
