@@ -6,7 +6,21 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazeline.llm import bpe, chat, decontaminate, fingerprint, language, neardup, pii, quality, secret_scan, sharding
+from hazeline.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    filter_audit,
+    fingerprint,
+    language,
+    lexical,
+    nearest,
+    neardup,
+    pii,
+    quality,
+    secret_scan,
+    sharding,
+)
 from hazeline.llm.common import table
 
 
@@ -30,7 +44,8 @@ def op1_minhash_dedup(spark, sf_dir):
 OP1_SQL = r"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[ 	-]+'), lambda x: x <> '') AS w FROM documents
+         '[ 	-
+]+'), lambda x: x <> '') AS w FROM documents
 ), shingle AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM doc WHERE len(w) > 0)
@@ -143,6 +158,81 @@ def op10_secrets(spark, sf_dir):
     return secret_scan.scanned(table(spark, sf_dir, "documents"))
 
 
+def op11_nearest(spark, sf_dir):
+    return nearest.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audited(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE letter AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f, unnest([1, 2, 4, 8, 16]) AS bit
+), ordered AS (
+  SELECT '' AS filter_order, 0 AS used, 0 AS step
+  UNION ALL SELECT filter_order || f, used + bit, step + 1 FROM ordered, letter WHERE used & bit = 0
+), stage AS (
+  SELECT filter_order, cast(step AS integer) AS step, bit, used - bit AS before
+  FROM (SELECT o.filter_order, p.step, p.used, l.bit FROM ordered o JOIN ordered p ON p.step > 0 AND starts_with(o.filter_order, p.filter_order)
+        JOIN letter l ON l.f = right(p.filter_order, 1) WHERE o.step = 5)
+), label AS (
+  SELECT doc_id, max(quality) = 1 AS good, max(toxic) = 1 AS toxic FROM labels GROUP BY doc_id
+), doc AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), masked AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+    + CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END AS mask
+  FROM doc LEFT JOIN label USING (doc_id)
+), counted AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masked GROUP BY ALL
+)
+SELECT part, filter_order, step,
+  cast(coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0) AS bigint) AS kept,
+  cast(coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS bigint) AS removed,
+  cast(coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0) AS bigint) AS redundant,
+  cast(coalesce(sum(n) FILTER (mask = bit), 0) AS bigint) AS unique_fails,
+  cast(coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS bigint) AS good_lost,
+  cast(coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0) AS bigint) AS toxic_lost,
+  cast(coalesce(sum(n * 120 // nullif(bit_count(mask), 0)) FILTER (mask & bit > 0), 0) AS bigint) AS shapley
+FROM counted, stage GROUP BY ALL
+"""
+
+
+def op13_lexical_search(spark, sf_dir):
+    return lexical.searched(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL
+), total AS (
+  SELECT count(*) AS N, sum(len(w)) AS L FROM doc WHERE len(w) > 0
+), item AS (
+  SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL
+), posting AS (
+  SELECT doc_id, t, count(*) AS tf, any_value(words) AS n
+  FROM (SELECT doc_id, len(w) AS words, unnest(w) AS t FROM doc) WHERE t IN (SELECT t FROM item) GROUP BY doc_id, t
+), weight AS (
+  SELECT t, cast(floor(1000 * ln((2 * any_value(total.N) + 2) / (2 * count(*) + 1))) AS bigint) AS w FROM posting, total GROUP BY t
+), scored AS (
+  SELECT item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * posting.n * total.N) // total.L)))) AS bigint) AS score
+  FROM item JOIN posting USING (t) JOIN weight USING (t), total GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS integer) AS rank, doc_id, score
+  FROM scored WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": Query(op1_minhash_dedup, OP1_SQL),
     "op2_fingerprints": Query(op2_fingerprints),
@@ -154,4 +244,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii": Query(op8_pii),
     "op9_chat": Query(op9_chat, OP9_SQL),
     "op10_secrets": Query(op10_secrets),
+    "op11_nearest": Query(op11_nearest),
+    "op12_filter_audit": Query(op12_filter_audit, OP12_SQL),
+    "op13_lexical_search": Query(op13_lexical_search, OP13_SQL),
 }
