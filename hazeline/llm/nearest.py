@@ -309,9 +309,8 @@ def nearest(df: DataFrame, id_column: str = "vec_id", column: str = "embedding")
     if not short.isEmpty():
         blocks = -(-total["n"] // BLOCK)
         dealt = placed.where("slot = 0").withColumns({"slot": F.lit(-1), "cell": F.pmod(F.xxhash64("ids", "v"), F.lit(blocks))})
-        visits = short.select(
-            F.lit(-1).alias("slot"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("cell"), "query_id", "least", "v"
-        )
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
+        visits = short.select(F.lit(-1).alias("slot"), every.alias("cell"), "query_id", "least", "v")
         found = found.unionByName(_compared(visits, dealt))
     return _merged(found)
 
