@@ -1,105 +1,128 @@
-"""Incremental lag and rolling features.
+"""Incremental lag and rolling features of a stream, with state per city.
 
-Row-counting windows are not defined on streams, so each micro-batch is joined
-to the newest rows of every city seen so far and goes through the batch feature
-code. That context is a small table of ``spec.reach`` rows per city.
+Lags and windows count rows, which no streaming window does. Spark's state store keeps,
+for each city, the rows that are held back and the newest ``spec.reach`` rows that have
+left; a micro-batch touches the cities that sent rows or whose timer went off, and no other.
 
-Rows may arrive out of order: a city's rows are held until its newest row is past
-them by the allowed lateness, and then leave in the order of time. What comes later
-still is written to a table of its own, so nothing vanishes.
+Rows may arrive out of order: a city's rows are held until its newest row is past them by
+the allowed lateness, and then leave in the order of time. A city that sends nothing more
+would hold its last rows for ever, so a timer in event time releases them when the watermark,
+``idle`` behind the newest row of all cities, has passed them. The rows that leave go through
+the batch feature code together with the rows before them. What comes later still is
+written to a table of its own, so nothing vanishes.
+
+One call sees the rows that one city sends in one micro-batch, which ``maxFilesPerTrigger``
+of the source bounds, together with its state.
 """
 
-from pyspark.sql import DataFrame, SparkSession
+import pickle
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazeline import series
 from hazeline.operators.features import TRAIN, FeatureSpec, add_features
-from hazeline.series import DEFAULT, Layout
+from hazeline.series import DEFAULT, POS, ROWS, Layout
 from hazeline.streaming.ingest import LATENESS
 
-READY, HELD, LATE = "ready", "held", "late"
+IDLE = "6 hours"
+NEW, LATE, MARK = "_new", "_late", "_mark"
 
 
-def placed(context: DataFrame | None, arrived: DataFrame, layout: Layout = DEFAULT, lateness: str = LATENESS):
-    """``arrived`` with a column ``_state``: ready to leave, held, or late.
+def with_beats(readings: DataFrame, idle: str, layout: Layout = DEFAULT) -> DataFrame:
+    """The rows with a watermark that none of them can fall behind.
 
-    Late are rows not newer than a row of their city that already left, and rows
-    without a city or a time. The limits are one row per city; adaptive execution
-    picks the join from their measured size.
+    Spark drops rows behind the watermark before they reach the state. So the watermark is
+    of a column that is null in the rows themselves; copies of them with the time in it
+    move the watermark and go no further.
     """
-    time = F.col(layout.time)
-    limits = arrived.groupBy(layout.key).agg(F.max(time).alias("_newest"))
-    if context is None:
-        limits = limits.withColumn("_closed", F.lit(None).cast("timestamp"))
-    else:
-        limits = limits.join(context.groupBy(layout.key).agg(F.max(time).alias("_closed")), layout.key, "left")
-    late = F.col(layout.key).isNull() | time.isNull() | F.coalesce(time <= F.col("_closed"), F.lit(False))
-    ready = time <= F.col("_newest") - F.expr(f"INTERVAL {lateness}")
-    return (
-        arrived.join(limits, layout.key, "left")
-        .withColumn("_state", F.when(late, LATE).when(ready, READY).otherwise(HELD))
-        .drop("_newest", "_closed")
+    nothing, time = F.lit(None).cast("timestamp"), F.col(layout.time)
+    marks = F.when(time.isNull(), F.array(nothing)).otherwise(F.array(nothing, time))
+    return readings.withColumn(MARK, F.explode(marks)).withWatermark(MARK, idle).where(F.col(MARK).isNull())
+
+
+def _holder(columns: list[str], reach: int, lateness: str, layout: Layout):
+    """The state function of a city: rows in; rows that leave, those before them, and late ones out."""
+    time, order, lag = layout.time, [layout.time, *layout.ties], pd.Timedelta(lateness)
+
+    def hold(key, batches, state):
+        left, closed, kept = (*state.get[:2], pickle.loads(state.get[2])) if state.exists else (0, None, None)
+        context, held = kept or (None, None)
+        watermark = pd.Timestamp(max(state.getCurrentWatermarkMs(), 0), unit="ms")
+        parts = [] if state.hasTimedOut else [b[columns] for b in batches]
+        new = pd.concat(parts) if parts else None
+        if new is not None:
+            late = new[time].isna() | (key[0] is None)
+            if closed is not None:
+                late |= new[time] <= pd.Timestamp(closed)
+            if late.any():
+                yield new[late].assign(**{POS: -1, ROWS: -1, NEW: True, LATE: True})
+            held = new[~late] if held is None else pd.concat([held, new[~late]])
+        if held is None or not len(held):
+            if context is not None:
+                state.update((left, closed, pickle.dumps((context, None))))
+            return
+        held = held.sort_values(order, kind="stable")
+        ready = held[time] <= max(held[time].iloc[-1] - lag, watermark)
+        leaving, held = held[ready], held[~ready]
+        if len(leaving):
+            before = 0 if context is None else len(context)
+            rows = leaving if context is None else pd.concat([context, leaving])
+            places = range(left - before, left + len(leaving))
+            left, closed = left + len(leaving), leaving[time].iloc[-1].to_pydatetime()
+            yield rows.assign(**{POS: places, ROWS: left, NEW: [i >= left - len(leaving) for i in places], LATE: False})
+            context = rows.iloc[-reach:]
+        state.update((left, closed, pickle.dumps((context, held))))
+        if len(held):
+            due = int(held[time].iloc[0].value // 1_000_000) - 1  # a timer goes off after its time
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs()))
+
+    return hold
+
+
+def leaving_rows(
+    readings: DataFrame, spec: FeatureSpec, layout: Layout = DEFAULT, lateness: str = LATENESS, idle: str = IDLE
+) -> DataFrame:
+    """The stream of rows that leave, with their positions, the rows before them, and late rows."""
+    columns = readings.columns
+    schema = readings.schema
+    for name, kind in ((POS, "long"), (ROWS, "long"), (NEW, "boolean"), (LATE, "boolean")):
+        schema = schema.add(name, kind) if name not in schema.names else schema
+    return with_beats(readings, idle, layout).groupBy(layout.key).applyInPandasWithState(
+        _holder(columns, spec.reach, lateness, layout), schema, "left long, closed timestamp, rows binary", "append", "EventTimeTimeout"
     )
 
 
-def feature_batch(context: DataFrame | None, ready: DataFrame, spec: FeatureSpec, layout: Layout = DEFAULT):
-    """Features of the ready rows, and all rows the next context is cut from."""
-    rows = ready.withColumn("_new", F.lit(True))
-    if context is not None:
-        rows = rows.unionByName(context.withColumn("_new", F.lit(False)))
-    featured = add_features(series.number_rows(rows, layout), spec, layout)
-    new = series.drop_bookkeeping(featured.where(F.col("_new"))).drop("_new")
-    return new, rows.drop("_new")
-
-
-def _step(fresh: DataFrame, batch_id: int, path: str, state_path: str, spec, layout, lateness) -> None:
-    """One batch: read what the previous one left, write features, late rows and new state."""
-    spark, columns = fresh.sparkSession, fresh.columns
-    context, arrived = None, fresh
-    if batch_id > 0:
-        before = f"{state_path}/{(batch_id - 1) % 2}"
-        context = spark.read.schema(fresh.schema).parquet(f"{before}/context")
-        arrived = fresh.unionByName(spark.read.schema(fresh.schema).parquet(f"{before}/held"))
-    sorted_out = placed(context, arrived, layout, lateness).persist()  # read once for each state
-
-    def of(state):
-        return sorted_out.where(F.col("_state") == state).select(*columns)
-
-    features, rows = feature_batch(context, of(READY), spec, layout)
-    features.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-    of(LATE).write.mode("overwrite").parquet(f"{state_path}/late/batch_id={batch_id}")
-    after = f"{state_path}/{batch_id % 2}"
-    series.last_rows(rows.select(*columns), spec.reach, layout).write.mode("overwrite").parquet(f"{after}/context")
-    of(HELD).write.mode("overwrite").parquet(f"{after}/held")
-    sorted_out.unpersist()
+def batch_features(rows: DataFrame, spec: FeatureSpec, layout: Layout = DEFAULT) -> DataFrame:
+    """Features of the new rows of a micro-batch, in which the rows before them are present."""
+    placed = rows.where(~F.col(LATE)).drop(LATE)
+    featured = add_features(placed, spec, layout)
+    return series.drop_bookkeeping(featured.where(F.col(NEW))).drop(NEW)
 
 
 def feature_stream(
-    readings: DataFrame, path: str, state_path: str, checkpoint: str,
-    spec: FeatureSpec = TRAIN, layout: Layout = DEFAULT, lateness: str = LATENESS,
+    readings: DataFrame, path: str, late_path: str, checkpoint: str, spec: FeatureSpec = TRAIN,
+    layout: Layout = DEFAULT, lateness: str = LATENESS, idle: str = IDLE,
 ) -> StreamingQuery:
-    """Write features of a stream of hourly readings, one folder per micro-batch.
+    """Write features of a stream of readings, and its late rows, one folder per micro-batch.
 
-    A batch reads the state the previous one wrote and overwrites only its own
-    output and state, so replaying it after a failure gives the same tables. Two
-    state folders in turn are enough. Late rows go to ``state_path``/late.
+    A batch overwrites only its own folders, and the state store returns to the state
+    before it, so replaying it after a failure gives the same tables.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        _step(batch, batch_id, path, state_path, spec, layout, lateness)
+        batch.persist()  # written to two tables
+        late = batch.where(F.col(LATE)).drop(POS, ROWS, NEW, LATE)
+        late.write.mode("overwrite").parquet(f"{late_path}/batch_id={batch_id}")
+        batch_features(batch, spec, layout).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.unpersist()
 
     return (
-        readings.writeStream.foreachBatch(process)
+        leaving_rows(readings, spec, layout, lateness, idle)
+        .writeStream.foreachBatch(process)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def release_held(
-    spark: SparkSession, schema, last_batch: int, path: str, state_path: str,
-    spec: FeatureSpec = TRAIN, layout: Layout = DEFAULT,
-) -> None:
-    """Features of the rows still held, once a stream has ended after ``last_batch``."""
-    _step(spark.createDataFrame([], schema), last_batch + 1, path, state_path, spec, layout, "0 hours")
