@@ -43,13 +43,26 @@ def quartiles_samples(spark, sf_dir):
     return rounded(quantiles.quartiles(scored_samples(spark, sf_dir), MEASURES))
 
 
+_FINE = "SELECT concat('city_', cast(user_id % 4 AS varchar)) AS city, value / 1e7::DOUBLE AS fine FROM events"
+
+
+@query("A6", f"SELECT city, 'fine' AS column, {r('q1 * 1e7', 'q1')}, {r('q3 * 1e7', 'q3')} FROM (SELECT city, quantile_cont(fine, 0.25) AS q1, "
+             f"quantile_cont(fine, 0.75) AS q3 FROM ({_FINE}) GROUP BY city)")
+def quartiles_within_one_unit(spark, sf_dir):
+    """All values lie close together, and bins of more than 20 are split again."""
+    city = F.concat(F.lit("city_"), (F.col("user_id") % 4).cast("string")).alias("city")
+    fine = events(spark, sf_dir).select(city, (F.col("value") / 1e7).alias("fine"))
+    found = quantiles.quartiles(fine, ["fine"], most=20)
+    return rounded(found.select("city", "column", *[(F.col(q) * 1e7).alias(q) for q in ("q1", "q3")]))
+
+
 @query("C4", with_tables(
     "SELECT city, " + ", ".join(
         f"{r(f'least(greatest({c}, q1_{c} - 3.0 * (q3_{c} - q1_{c})), q3_{c} + 3.0 * (q3_{c} - q1_{c}))', c)}"
         for c in MEASURES) + ", timestamp FROM kept JOIN quartile_row USING (city)", "quartile_row"))
 def cap_outliers(spark, sf_dir):
     filled = cleaning.interpolate_time(readings(spark, sf_dir), layout=HOURLY)
-    kept = series.stage_numbered(filled.na.drop(subset=list(MEASURES)), HOURLY)
+    kept = filled.na.drop(subset=list(MEASURES))
     return rounded(cleaning.cap_outliers(kept, layout=HOURLY).select(*KEYS, *MEASURES))
 
 
@@ -68,8 +81,7 @@ _BACKWARD = "(PARTITION BY city ORDER BY timestamp, event_id ROWS BETWEEN CURREN
         f"coalesce(last_value({c} IGNORE NULLS) OVER {_FORWARD}, first_value({c} IGNORE NULLS) OVER {_BACKWARD}) AS {c}"
         for c in POLLUTANTS) + " FROM samples", "samples"))
 def fill_edges(spark, sf_dir):
-    blocked = series.drop_halo(series.split_blocks(series.number_rows(samples(spark, sf_dir), SAMPLED), SAMPLED))
-    return cleaning.fill_edges(blocked, POLLUTANTS, SAMPLED).select("event_id", *POLLUTANTS)
+    return cleaning.fill_edges(series.number_rows(samples(spark, sf_dir), SAMPLED), POLLUTANTS, SAMPLED).select("event_id", *POLLUTANTS)
 
 
 @query("C1 C3 P4 C4 C5", with_tables(f"SELECT city, timestamp, {_columns(MEASURES)} FROM cleaned", "cleaned"))

@@ -7,7 +7,8 @@ from hazeline import series
 from hazeline.operators.projection import drop_incomplete
 from hazeline.operators.quantiles import iqr_bounds
 from hazeline.schemas import MEASURES, POLLUTANTS, TIME
-from hazeline.series import BLOCK, DEFAULT, OWN, Layout
+from hazeline.series import BLOCK, DEFAULT, INDEX, POS, ROWS, Layout
+from hazeline.session import write_and_reread
 
 
 def parse_times(df: DataFrame, time: str = TIME) -> DataFrame:
@@ -31,47 +32,39 @@ def interpolate_time(df: DataFrame, columns=MEASURES, limit: int = 3, layout: La
 
     A row is filled when a known value lies within ``limit`` rows before it; the
     next known value may be any distance away. Without a next one the last value
-    is held. Returns the series blocked and positioned, halo rows removed.
+    is held. The series is written once, in time slices; known values beyond a slice
+    come from one small row per slice, for both directions. Returns the series
+    positioned, its slices as blocks.
     """
-    numbered = series.number_rows(df, layout)
-    blocked = series.split_blocks(numbered, layout, back=limit)
+    indexed = series.index_chunks(df, layout, "gaps")
     clock = F.unix_micros(F.col(layout.time).cast("timestamp"))
+    value = {c: F.col(c).cast("double") for c in columns}
+    # Plain numbers, not structs, so that the aggregation can hash and combine.
+    parts = {f"t_{c}": F.when(v.isNotNull(), clock) for c, v in value.items()}
+    parts |= {f"v_{c}": v for c, v in value.items()}
+    parts |= {f"p_{c}": F.when(v.isNotNull(), F.col(INDEX).cast("long")) for c, v in value.items()}
+    blocks = series.block_offsets(indexed, layout, series.known_summaries(parts, INDEX))
+    blocks = blocks.withColumns({f"_last_p_{c}": F.col("_before") + F.col(f"_last_p_{c}") - 1 for c in columns})
+    beyond = series.carried(blocks, parts, layout)
+    beyond = blocks.select(layout.key, BLOCK, "_before", ROWS, *[e.alias(n) for n, e in beyond.items()])
+    rows = indexed.join(beyond, [layout.key, BLOCK]).withColumn(POS, F.col("_before") + F.col(INDEX) - 1)
 
-    def point(name):
-        value = F.col(name).cast("double")
-        return F.when(value.isNotNull(), F.struct(clock.alias("t"), value.alias("v")))
-
-    backwards = series.block_window(layout).rowsBetween(-limit, 0)
-    forwards = series.block_window_reversed(layout).rowsBetween(Window.unboundedPreceding, 0)
-    marked = (
-        blocked.select(
-            "*",
-            *[F.last(point(c), ignorenulls=True).over(backwards).alias(f"_prev_{c}") for c in columns],
-        )
-        .select(
-            "*",
-            *[F.last(point(c), ignorenulls=True).over(forwards).alias(f"_next_{c}") for c in columns],
-        )
-        .where(F.col(OWN))
-        .drop(OWN)
-    )
-    # Plain numbers, not structs, so that this aggregation can hash and combine.
-    known = {c: F.col(c).cast("double") for c in columns}
-    far = {f"_far_t_{c}": F.when(v.isNotNull(), clock) for c, v in known.items()}
-    far |= {f"_far_v_{c}": v for c, v in known.items()}
-    beyond = series.last_known(series.split_blocks(numbered, layout), far, layout, later=True)
-
-    def filled(name):
-        before, after = F.col(f"_prev_{name}"), F.col(f"_next_{name}")
-        after = {k: F.coalesce(after[k], F.col(f"_far_{k}_{name}")) for k in ("t", "v")}
+    upto = series.block_window(layout).rowsBetween(Window.unboundedPreceding, 0)
+    onward = series.block_window_reversed(layout).rowsBetween(Window.unboundedPreceding, 0)
+    point = lambda c: F.when(value[c].isNotNull(), F.struct(clock.alias("t"), value[c].alias("v"), F.col(POS).alias("p")))
+    marked = rows.select("*", *[F.last(point(c), ignorenulls=True).over(upto).alias(f"_prev_{c}") for c in columns])
+    marked = marked.select("*", *[F.last(point(c), ignorenulls=True).over(onward).alias(f"_next_{c}") for c in columns])
+
+    def filled(c):
+        before = {k: F.coalesce(F.col(f"_prev_{c}")[k], F.col(f"_earlier_{k}_{c}")) for k in "tvp"}
+        after = {k: F.coalesce(F.col(f"_next_{c}")[k], F.col(f"_later_{k}_{c}")) for k in "tv"}
         share = F.try_divide((clock - before["t"]).cast("double"), (after["t"] - before["t"]).cast("double"))
         between = before["v"] + (after["v"] - before["v"]) * share
-        value = F.col(name).cast("double")
-        return F.coalesce(value, between, before["v"])
+        near = F.col(POS) - before["p"] <= limit
+        return F.coalesce(value[c], F.when(near, F.coalesce(between, before["v"])))
 
-    kept = [c for c in marked.columns if not c.startswith(("_prev_", "_next_"))]
-    joined = marked.join(beyond, [layout.key, BLOCK])
-    return joined.select([filled(c).alias(c) if c in columns else F.col(c) for c in kept])
+    kept = [c for c in df.columns if c not in series.BOOKKEEPING]
+    return marked.select([filled(c).alias(c) if c in columns else F.col(c) for c in kept] + [BLOCK, POS, ROWS])
 
 
 def clip_negative(df: DataFrame, columns=POLLUTANTS) -> DataFrame:
@@ -90,11 +83,16 @@ def cap_outliers(
 ) -> DataFrame:
     """Clip each column to its city's quartiles widened by ``factor`` ranges.
 
-    ``df`` is a blocked series. The quartiles come from ``fit_on`` (by default the
-    series itself).
+    ``df`` is a blocked series. It is written once, since the quartiles and the caller both
+    read it, and comes back with fresh positions. The quartiles are its own, or
+    those of ``fit_on``.
     """
-    bounds = iqr_bounds(df if fit_on is None else fit_on, columns, factor, (layout.key,))
-    return clip_to_bounds(series.join_per_city(df, bounds, layout), columns)
+
+    def bounds(written):
+        return iqr_bounds(written if fit_on is None else fit_on, columns, factor, (layout.key,))
+
+    # The quartiles read the written table itself, not the frame that already joins the positions.
+    return clip_to_bounds(series.stage_numbered(df, layout, "capped", bounds), columns)
 
 
 def clip_to_bounds(df: DataFrame, columns) -> DataFrame:
@@ -107,38 +105,28 @@ def clip_to_bounds(df: DataFrame, columns) -> DataFrame:
 def clean_series(df: DataFrame, layout: Layout = DEFAULT, limit: int = 3, factor: float = 3.0) -> DataFrame:
     """Interpolate, drop what stays incomplete, cap outliers, clip negatives.
 
-    The order matters: quartiles are taken after the drop. The dropped series is
-    written once, since the quartiles and the caller both read it. The result
-    carries fresh positions for feature building.
+    The order matters: quartiles are taken after the drop. The result carries fresh
+    positions for feature building.
     """
     kept = drop_incomplete(interpolate_time(nan_to_null(df), MEASURES, limit, layout), MEASURES)
-    # The quartiles read the written table itself, not the frame that already joins the positions.
-    bounded = series.stage_numbered(
-        kept, layout, "filled", lambda written: iqr_bounds(written, MEASURES, factor, (layout.key,))
-    )
-    return clip_negative(clip_to_bounds(bounded, MEASURES))
+    return clip_negative(cap_outliers(kept, MEASURES, factor, layout))
 
 
 def fill_edges(df: DataFrame, columns, layout: Layout = DEFAULT) -> DataFrame:
-    """Forward fill, then backward fill, over a blocked series without halo."""
+    """Forward fill, then backward fill, over a blocked series without halo.
+
+    The series is written once; what lies beyond a block comes from one small row per
+    block, for both directions.
+    """
+    written = write_and_reread(df, "edges")
+    here = {c: F.col(c) for c in columns}
+    named = [e.alias(n) for n, e in series.known_summaries(here, POS).items()]
+    blocks = written.groupBy(layout.key, BLOCK).agg(*named)
+    beyond = blocks.select(layout.key, BLOCK, *[e.alias(n) for n, e in series.carried(blocks, here, layout).items()])
     upto = series.block_window(layout).rowsBetween(Window.unboundedPreceding, 0)
     onward = series.block_window_reversed(layout).rowsBetween(Window.unboundedPreceding, 0)
-    here = {c: F.col(c) for c in columns}
-    earlier = series.last_known(df, {f"_back_{c}": v for c, v in here.items()}, layout)
-    later = series.last_known(df, {f"_ahead_{c}": v for c, v in here.items()}, layout, later=True)
-    kept = df.columns
-    forward = df.select(
-        *[c for c in kept if c not in columns],
-        *[F.last(c, ignorenulls=True).over(upto).alias(c) for c in columns],
-        *[F.last(c, ignorenulls=True).over(onward).alias(f"_onward_{c}") for c in columns],
-    )
-    keys = [layout.key, BLOCK]
-    joined = forward.join(earlier.join(later, keys), keys)
-    return joined.select(
-        [
-            F.coalesce(F.col(c), F.col(f"_back_{c}"), F.col(f"_onward_{c}"), F.col(f"_ahead_{c}")).alias(c)
-            if c in columns
-            else F.col(c)
-            for c in kept
-        ]
-    )
+    rows = written.join(beyond, [layout.key, BLOCK])
+    rows = rows.select("*", *[F.last(c, ignorenulls=True).over(upto).alias(f"_upto_{c}") for c in columns])
+    rows = rows.select("*", *[F.last(c, ignorenulls=True).over(onward).alias(f"_onward_{c}") for c in columns])
+    sides = ("_upto_", "_earlier_", "_onward_", "_later_")
+    return rows.select([F.coalesce(*[f"{s}{c}" for s in sides]).alias(c) if c in columns else F.col(c) for c in df.columns])

@@ -63,31 +63,64 @@ def fit_chunks(df: DataFrame, layout: Layout = DEFAULT, target_rows: int = 1_000
     return Layout(layout.key, layout.time, layout.ties, seconds, layout.block_rows)
 
 
-def _offsets(counts: DataFrame, layout: Layout, chunk: str) -> DataFrame:
-    """Rows before each chunk and rows in all, from one small row per chunk."""
+def chunk_of(layout: Layout = DEFAULT) -> Column:
+    """The time slice of a row; rows without a time come first, in slices drawn by a hash of their ties."""
+    seconds = F.unix_seconds(F.col(layout.time).cast("timestamp"))
+    return F.coalesce(F.floor(seconds / layout.chunk_seconds), F.lit(-(2**62)))
+
+
+def index_chunks(df: DataFrame, layout: Layout = DEFAULT, label: str = "chunks") -> DataFrame:
+    """The series, written once, with its time slices as blocks and the index within each.
+
+    All that needs several looks at the series reads the written table, so that its source
+    is scanned once.
+    """
+    chunked = df.drop(*BOOKKEEPING).withColumn(BLOCK, chunk_of(layout))
+    index = F.row_number().over(Window.partitionBy(layout.key, BLOCK).orderBy(*layout.order))
+    return write_and_reread(chunked.withColumn(INDEX, index), label)
+
+
+def block_offsets(indexed: DataFrame, layout: Layout = DEFAULT, summaries: dict[str, Column] | None = None) -> DataFrame:
+    """One row per block: ``_before``, the row count of the city, and ``summaries`` of the block."""
+    named = [e.alias(name) for name, e in (summaries or {}).items()]
+    counts = indexed.groupBy(layout.key, BLOCK).agg(F.max(INDEX).cast("long").alias("_n"), *named)
     city = Window.partitionBy(layout.key)
-    earlier = city.orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = city.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     return counts.select(
         layout.key,
-        chunk,
+        BLOCK,
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_n").over(city).alias(ROWS),
+        *(summaries or {}),
     )
 
 
+def known_summaries(values: dict[str, Column], at: str) -> dict[str, Column]:
+    """A block's first and last known value of each expression, in the order of ``at``."""
+    known = {name: F.when(v.isNotNull(), F.col(at)) for name, v in values.items()}
+    firsts = {f"_first_{name}": F.min_by(v, known[name]) for name, v in values.items()}
+    return firsts | {f"_last_{name}": F.max_by(v, known[name]) for name, v in values.items()}
+
+
+def carried(summaries: DataFrame, names, layout: Layout = DEFAULT) -> dict[str, Column]:
+    """Expressions over one row per block for the nearest known values beyond it.
+
+    ``_earlier_<name>`` comes from the blocks before, ``_later_<name>`` from those after.
+    """
+    city = Window.partitionBy(layout.key)
+    before = city.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    after = city.orderBy(F.col(BLOCK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    out = {f"_earlier_{n}": F.last(f"_last_{n}", ignorenulls=True).over(before) for n in names}
+    return out | {f"_later_{n}": F.last(f"_first_{n}", ignorenulls=True).over(after) for n in names}
+
+
 def number_rows(df: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     """Add the exact position and row count of each city's series."""
-    seconds = F.unix_seconds(F.col(layout.time).cast("timestamp"))
-    # Rows without a time come first, as one chunk of their own.
-    chunk = F.coalesce(F.floor(seconds / layout.chunk_seconds), F.lit(-(2**62)))
-    chunked = df.drop(*BOOKKEEPING).withColumn(CHUNK, chunk)
-    counts = chunked.groupBy(layout.key, CHUNK).agg(F.count("*").alias("_n"))
-    index = F.row_number().over(Window.partitionBy(layout.key, CHUNK).orderBy(*layout.order))
+    indexed = index_chunks(df, layout)
     return (
-        chunked.withColumn(INDEX, index)
-        .join(_offsets(counts, layout, CHUNK), [layout.key, CHUNK])
+        indexed.join(block_offsets(indexed, layout), [layout.key, BLOCK])
         .withColumn(POS, F.col("_before") + F.col(INDEX) - 1)
-        .drop("_before", INDEX, CHUNK)
+        .drop("_before", INDEX)
     )
 
 
@@ -101,8 +134,7 @@ def stage_numbered(df: DataFrame, layout: Layout = DEFAULT, label: str = "series
     index = F.row_number().over(block_window(layout))
     kept = [name for name in df.columns if name not in (POS, ROWS, OWN, CHUNK, INDEX)]
     staged = write_and_reread(df.withColumn(INDEX, index).select(*kept, INDEX), label)
-    counts = staged.groupBy(layout.key, BLOCK).agg(F.max(INDEX).cast("long").alias("_n"))
-    blocks = _offsets(counts, layout, BLOCK)
+    blocks = block_offsets(staged, layout)
     if per_city is not None:
         blocks = blocks.join(per_city(staged), layout.key, "left")
     return (
@@ -152,23 +184,6 @@ def block_window_reversed(layout: Layout = DEFAULT):
     return Window.partitionBy(layout.key, BLOCK).orderBy(F.col(POS).desc())
 
 
-def last_known(df: DataFrame, values: dict[str, Column], layout: Layout = DEFAULT, later: bool = False) -> DataFrame:
-    """Per block, the nearest non-null value of the earlier (or ``later``) blocks.
-
-    ``values`` maps output names to expressions over a blocked DataFrame without
-    halo rows. Returns one row per ``(city, block)``.
-    """
-    pick = F.min_by if later else F.max_by
-    summary = df.groupBy(layout.key, BLOCK).agg(
-        *[pick(v, F.when(v.isNotNull(), F.col(POS))).alias(name) for name, v in values.items()]
-    )
-    order = F.col(BLOCK).desc() if later else F.col(BLOCK)
-    beyond = Window.partitionBy(layout.key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(
-        layout.key, BLOCK, *[F.last(name, ignorenulls=True).over(beyond).alias(name) for name in values]
-    )
-
-
 def join_per_city(df: DataFrame, per_city: DataFrame, layout: Layout = DEFAULT) -> DataFrame:
     """Bring one row per city to a blocked series.
 
