@@ -3,15 +3,18 @@
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from hazeline.functions.aqi import clamp_index
+from hazeline.models.predictors import TreePredictor, tree_predictor
 from hazeline.operators.features import SERVE
 from hazeline.operators.scaling import regression_metrics
 from hazeline.schemas import TARGET
@@ -75,30 +78,65 @@ def best_iteration(errors, patience: int) -> tuple[int, bool]:
     return best, False
 
 
+def prefix_errors(df: DataFrame, predictor: TreePredictor, target: str = TARGET) -> DataFrame:
+    """``trees, mae``: mean absolute error of the first n trees, for every n, from one pass.
+
+    A task adds the errors of its rows up to one row of as many sums as there are trees.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(predictor)  # a size set by the model alone
+    inputs = [F.col(n).cast("double").alias(f"_x{i}") for i, n in enumerate(predictor.features)]
+
+    def run(batches):
+        predictor, sums, rows = sent.value, 0.0, 0
+        for batch in batches:
+            labels = batch["_y"].to_numpy(dtype=float)
+            matrix = batch.drop(columns="_y").to_numpy(dtype=float)
+            so_far, errors = np.zeros(len(matrix)), []
+            for part in predictor.parts(matrix):
+                so_far += part
+                errors.append(np.abs(so_far - labels).sum())
+            sums, rows = sums + np.array(errors), rows + len(matrix)
+        if rows:
+            yield pd.DataFrame({"sums": [sums], "n": [rows]})
+
+    parts = df.select(*inputs, F.col(target).cast("double").alias("_y")).mapInPandas(run, "sums array<double>, n long")
+    long = parts.select("n", F.posexplode("sums").alias("trees", "sum"))
+    return long.groupBy((F.col("trees") + 1).alias("trees")).agg((F.sum("sum") / F.sum("n")).alias("mae"))
+
+
+def first_trees(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
+    """The model of the first trees of a boosted ensemble, which are what a shorter fit would give."""
+    whole, context = model._java_obj, SparkSession.active().sparkContext
+    regression = context._jvm.org.apache.spark.ml.regression
+    kept = context._gateway.new_array(regression.DecisionTreeRegressionModel, trees)
+    weights = context._gateway.new_array(context._jvm.double, trees)
+    for i, (tree, weight) in enumerate(zip(whole.trees()[:trees], whole.treeWeights()[:trees])):
+        kept[i], weights[i] = tree, weight
+    short = GBTRegressionModel(regression.GBTRegressionModel(whole.uid(), kept, weights, whole.numFeatures()))
+    for param in model.extractParamMap():
+        if model.isSet(param):
+            short.set(short.getParam(param.name), model.getOrDefault(param))
+    short._transfer_params_to_java()
+    return short
+
+
 def fit_boosted(train: DataFrame, validation: DataFrame, features, settings: BoostSettings = BoostSettings()):
     """Boosted trees stopped at the best mean absolute error on ``validation``.
 
-    The tree count doubles until patience runs out, so an early stop costs few
-    trees, and the final fit has exactly the best number of them. Equal seeds give
-    equal first trees. Returns the pipeline model and the number of trees.
+    All trees are fitted once. One pass over the validation rows scores every prefix of the
+    ensemble, and the trees up to the best one before patience runs out are the model.
+    Returns the pipeline model and the number of trees.
     """
     inputs = assembler(features)
     prepared = inputs.transform(train).select(INPUTS, TARGET).persist()
-    checked = inputs.transform(validation).select(INPUTS, TARGET).persist()
     try:
-        trees = min(settings.trees, 2 * settings.patience)
-        while True:
-            model = booster(settings, trees).fit(prepared)
-            best, stopped = best_iteration(model.evaluateEachIteration(checked, "absolute"), settings.patience)
-            if stopped or trees >= settings.trees:
-                break
-            trees = min(settings.trees, 2 * trees)
-        if best + 1 < trees:
-            model = booster(settings, best + 1).fit(prepared)
+        model = booster(settings, settings.trees).fit(prepared)
     finally:
         prepared.unpersist()
-        checked.unpersist()
-    return PipelineModel([inputs, model]), best + 1
+    predictor = tree_predictor(train.sparkSession, model, features)
+    errors = prefix_errors(validation, predictor).orderBy("trees").collect()  # one row per tree
+    best, _ = best_iteration([row["mae"] for row in errors], settings.patience) if errors else (len(predictor.weights) - 1, False)
+    return PipelineModel([inputs, first_trees(model, best + 1)]), best + 1
 
 
 def baseline_estimators(trees: int = 100, depth: int = 10) -> dict:

@@ -41,6 +41,12 @@ class TreePredictor:
 
     def predict(self, matrix: np.ndarray) -> np.ndarray:
         total = np.zeros(len(matrix))
+        for part in self.parts(matrix):
+            total += part
+        return total
+
+    def parts(self, matrix: np.ndarray):
+        """What each tree in turn adds to the predictions."""
         rows = np.arange(len(matrix))
         for t, weight in enumerate(self.weights):
             node = np.zeros(len(matrix), dtype=np.int64)
@@ -51,8 +57,7 @@ class TreePredictor:
                 goes_left = matrix[rows, np.maximum(self.feature[t, node], 0)] <= self.threshold[t, node]
                 child = np.where(goes_left, self.left[t, node], self.right[t, node])
                 node = np.where(inner, child, node)
-            total += weight * self.value[t, node]
-        return total
+            yield weight * self.value[t, node]
 
 
 def linear_predictor(model, features) -> LinearPredictor:

@@ -54,24 +54,31 @@ def test_forecast_covers_short_and_empty_histories(spark, history):
     assert forecast(history.where("false"), one("aqi_lag_1h"), SERVE).count() == 0
 
 
-def test_shapley_table_equals_all_orders():
-    share = np.array([0.2, 0.7, 0.5])
-    table = attribution.shapley_table(share)
-    for code in range(8):
-        inside = [(code >> i) & 1 for i in range(3)]
-        wanted = np.zeros(3)
-        for order in permutations(range(3)):
-            known = set()
-            for i in order:
-                value = lambda s: np.prod([inside[j] if j in s else share[j] for j in range(3)])
-                wanted[i] += (value(known | {i}) - value(known)) / factorial(3)
-                known.add(i)
-        assert table[code] == pytest.approx(wanted)
-
-
-def test_tree_contributions_add_up(spark, history):
-    names = ["pm2_5", "no2", "co"]
-    forest = fit.fit_pipeline(history, names, fit.baseline_estimators(trees=5, depth=4)["forest"])
+def all_orders(value, players):
+    """Shapley values from every order of the players."""
+    out = np.zeros(players)
+    for order in permutations(range(players)):
+        known = set()
+        for i in order:
+            out[i] += (value(known | {i}) - value(known)) / factorial(players)
+            known.add(i)
+    return out
+
+
+@pytest.mark.parametrize("share", [[0.2, 0.7, 0.5], [0.4], [1.0, 0.1, 0.6, 0.9, 0.3]])
+def test_shapley_values_equal_all_orders(share):
+    d = len(share)
+    inside = np.array([[(code >> i) & 1 for i in range(d)] for code in range(2**d)], dtype=float)
+    got = attribution.shapley_values(inside, np.broadcast_to(np.array(share), inside.shape))
+    for mine, own in zip(got, inside):
+        value = lambda s: np.prod([own[j] if j in s else share[j] for j in range(d)])
+        assert mine == pytest.approx(all_orders(value, d))
+
+
+@pytest.mark.parametrize("trees,depth", [(5, 4), (200, 6)])
+def test_tree_contributions_add_up(spark, history, trees, depth):
+    names = ["pm2_5", "no2", "co", "o3", "so2", "pm10"]
+    forest = fit.fit_pipeline(history, names, fit.baseline_estimators(trees=trees, depth=depth)["forest"])
     predictor = tree_predictor(spark, forest.stages[-1], names)
     assert isinstance(predictor, TreePredictor)
     explained = attribution.tree_attributions(history, predictor).toPandas().sort_values("timestamp")
@@ -80,6 +87,73 @@ def test_tree_contributions_add_up(spark, history):
     assert (explained["base"] + explained["phi"].map(sum)).to_numpy() == pytest.approx(explained["prediction"].to_numpy())
 
 
+def test_leaves_beyond_the_limit_are_refused(spark, history, monkeypatch):
+    forest = fit.fit_pipeline(history, ["co"], fit.baseline_estimators(trees=2, depth=3)["forest"])
+    predictor = tree_predictor(spark, forest.stages[-1], ["co"])
+    monkeypatch.setattr(attribution, "MOST_BYTES", 10)
+    with pytest.raises(ValueError, match="bytes"):
+        attribution.tree_attributions(history, predictor)
+
+
+def test_interventional_contributions(spark, history):
+    names = ["pm2_5", "no2", "co"]
+    background = history.orderBy("timestamp").limit(20)
+    sample = background.toPandas()[names].to_numpy()
+    forest = fit.fit_pipeline(history, names, fit.baseline_estimators(trees=5, depth=4)["forest"])
+    trees = tree_predictor(spark, forest.stages[-1], names)
+    linear = LinearPredictor(tuple(names), (0.5, -0.2, 0.1), 3.0)
+    for predictor in (trees, linear):
+        got = attribution.interventional_attributions(history, predictor, background).toPandas().sort_values("timestamp")
+        matrix = history.orderBy("timestamp").toPandas()[names].to_numpy()
+        assert got["base"].iloc[0] == pytest.approx(predictor.predict(sample).mean())
+        assert (got["base"] + got["phi"].map(sum)).to_numpy() == pytest.approx(predictor.predict(matrix))
+    assert np.stack(got["phi"]) == pytest.approx((matrix - sample.mean(axis=0)) * np.array(linear.weights))
+    with pytest.raises(ValueError, match="background"):
+        attribution.interventional_attributions(history, linear, history.limit(0))
+    # a single feature pair: all orders are two, and both are taken
+    two = tree_predictor(spark, fit.fit_pipeline(history, names[:2], fit.baseline_estimators(trees=3)["forest"]).stages[-1], names[:2])
+    got = attribution.interventional_attributions(history, two, background).toPandas().sort_values("timestamp")
+    for row, phi in zip(matrix[:5, :2], got["phi"]):
+        value = lambda s: np.mean(two.predict(np.array([[row[j] if j in s else z[j] for j in range(2)] for z in sample])))
+        assert phi == pytest.approx(all_orders(value, 2))
+
+
+def parted(spark):
+    rows = [(START + dt.timedelta(hours=i), 50.0 + 40.0 * ((i // 6) % 2) + i % 5, float((i // 6) % 2), float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "timestamp timestamp, aqi double, x double, y double")
+    cut = add_hours(F.lit(START), F.lit(160))
+    return df.where(F.col("timestamp") < cut), df.where(F.col("timestamp") >= cut)
+
+
+def test_one_fit_keeps_the_trees_of_a_shorter_fit(spark, monkeypatch):
+    train, test = parted(spark)
+    settings = fit.BoostSettings(trees=25, patience=4, depth=2, step=0.3)
+    fits = []
+    whole_fit = fit.booster
+    monkeypatch.setattr(fit, "booster", lambda s, n: fits.append(n) or whole_fit(s, n))
+    model, trees = fit.fit_boosted(train, test, ["x", "y"], settings)
+    assert fits == [25] and model.stages[-1].getNumTrees == trees < 25
+    # Spark's own scores of each iteration name the same tree, and a fit of that many gives the same model
+    inputs = fit.assembler(["x", "y"])
+    long = whole_fit(settings, 25).fit(inputs.transform(train))
+    errors = long.evaluateEachIteration(inputs.transform(test), "absolute")
+    assert fit.best_iteration(errors, 4)[0] + 1 == trees
+    mine = fit.prefix_errors(test, tree_predictor(spark, long, ["x", "y"])).orderBy("trees").collect()
+    assert [r.mae for r in mine] == pytest.approx(errors)
+    short = whole_fit(settings, trees).fit(inputs.transform(train))
+    score = lambda m: [r.prediction for r in m.transform(inputs.transform(test)).orderBy("timestamp").collect()]
+    assert score(short) == pytest.approx(score(model.stages[-1])) and fit.check_width(model)
+
+
+def test_a_cut_model_is_saved_and_loaded(spark, tmp_path):
+    train, test = parted(spark)
+    model, trees = fit.fit_boosted(train, test, ["x", "y"], fit.BoostSettings(trees=6, patience=2, depth=2))
+    fit.save_model(model, str(tmp_path / "cut"))
+    loaded = fit.load_model(str(tmp_path / "cut"))
+    assert loaded.stages[-1].getNumTrees == trees
+    assert fit.predict(loaded, test).select("prediction").collect() == fit.predict(model, test).select("prediction").collect()
+
+
 def test_boosted_trees_beat_persistence(spark):
     rows = [(START + dt.timedelta(hours=i), 50.0 + 40.0 * ((i // 6) % 2), float((i // 6) % 2), 0.0) for i in range(200)]
     df = spark.createDataFrame(rows, "timestamp timestamp, aqi double, x double, y double")
