@@ -1,11 +1,11 @@
 """Reading and appending the readings table."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazeline.operators.projection import select_present
-from hazeline.schemas import READINGS, TIME
+from hazeline.schemas import CITY, READINGS, TIME
 
 SERVED = (TIME, "aqi", "pm2_5", "pm10", "no2", "so2", "o3", "co")
 
@@ -15,6 +15,26 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def newest_history(spark: SparkSession, path: str, n: int = 500, city: str | None = None) -> DataFrame:
+    """The newest ``n`` rows with a time, oldest first: city and the eight served columns.
+
+    The table is split by city and day. Row counts by day, which come from file footers
+    alone, tell how many of the newest days hold ``n`` rows; only those partitions are read,
+    and of these only the ``n`` newest rows are sorted. Equal times are ordered by city.
+    """
+    table = spark.read.parquet(path)
+    if city is not None:
+        table = table.where(F.col(CITY) == city)
+    days = table.where(F.col("dt").isNotNull()).groupBy("dt").count()
+    newest_first = Window.orderBy(F.col("dt").desc())  # one row per day
+    newer = F.coalesce(F.sum("count").over(newest_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    oldest = days.withColumn("newer", newer).where(F.col("newer") < n).agg(F.min("dt")).first()[0]
+    recent = table.where(F.col("dt") >= F.lit(oldest))
+    types = {field.name: field.dataType for field in READINGS}
+    served = recent.select([F.col(c).cast(types[c]).alias(c) for c in (CITY, *SERVED)])
+    return served.orderBy(F.col(TIME).desc(), CITY).limit(n).orderBy(TIME, CITY)
+
+
 def append_readings(df: DataFrame, path: str) -> None:
     """Append, partitioned by city and day so that later scans prune."""
     df.withColumn("dt", F.to_date(TIME)).write.mode("append").partitionBy("city", "dt").parquet(path)

@@ -6,19 +6,32 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hazeline.functions.aqi import with_aqi
 from hazeline.schemas import CITY, POLLUTANTS, TIME
-from hazeline.sources.payload import payload_schema, to_readings
+from hazeline.sources import payload
 
 LATENESS = "2 hours"
 
 
+def raw_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """New payload files as documents, malformed records among them."""
+    return payload.json_reader(spark.readStream.option("maxFilesPerTrigger", files_per_batch), folder)
+
+
 def payload_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """New payload files as scored readings; same transformation as the batch."""
-    raw = (
-        spark.readStream.schema(payload_schema())
-        .option("maxFilesPerTrigger", files_per_batch)
-        .json(folder)
-    )
-    return to_readings(raw)
+    return payload.to_readings(payload.accepted(raw_stream(spark, folder, files_per_batch)))
+
+
+def ingest_payloads(spark: SparkSession, folder: str, path: str, rejects: str, checkpoint: str, files_per_batch: int = 1000) -> None:
+    """Append the readings of new payload files to a table, and malformed records to another.
+
+    Both are file streams into file tables, whose log names the files of each finished
+    batch. So a restart from the checkpoint goes on after the last one, and what a failed
+    batch left behind is not read: every record counts exactly once.
+    """
+    kept = append_stream(payload_stream(spark, folder, files_per_batch), path, f"{checkpoint}/readings")
+    other = append_plain(payload.rejected(raw_stream(spark, folder, files_per_batch)), rejects, f"{checkpoint}/rejects")
+    for running in (kept, other):
+        running.awaitTermination()
 
 
 def once_per_hour(readings: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -50,11 +63,14 @@ def hourly_means(readings: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
 def append_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Process what is there and stop; append to a table partitioned like batch."""
+    return append_plain(df.withColumn("dt", F.to_date(TIME)), path, checkpoint, (CITY, "dt"))
+
+
+def append_plain(df: DataFrame, path: str, checkpoint: str, by=()) -> StreamingQuery:
     return (
-        df.withColumn("dt", F.to_date(TIME))
-        .writeStream.format("parquet")
+        df.writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(CITY, "dt")
+        .partitionBy(*by)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
