@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("cleaning", "features", "reports", "scoring", "ingest", "models")
+MODULES = ("cleaning", "features", "reports", "scoring", "ingest", "models", "outlook")
 
 
 def all_queries():

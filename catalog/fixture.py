@@ -73,18 +73,63 @@ def replay(spark, sf_dir) -> DataFrame:
 # --- the same in SQL --------------------------------------------------------
 
 
-# Fixed values of the published index, kept apart from the library's own table: the index
-# brackets, and per pollutant the divisors, the score outside all brackets, the reciprocal of
-# the published precision and the concentration brackets.
-_INDEX = ((0, 50), (51, 100), (101, 150), (151, 200), (201, 300), (301, 400), (401, 500))
+# Fixed values of the published index: per pollutant the divisors, the score outside all
+# brackets, the reciprocal of the published precision, and the brackets as rows of
+# concentration low and high, index low and high.
 _PUBLISHED = {
-    "pm2_5": ((), 500, 10, "0.0-12.0 12.1-35.4 35.5-55.4 55.5-150.4 150.5-250.4 250.5-350.4 350.5-500.4"),
-    "pm10": ((), 500, 1, "0-54 55-154 155-254 255-354 355-424 425-504 505-604"),
-    "no2": ((1.88,), 500, 1, "0-53 54-100 101-360 361-649 650-1249 1250-1649 1650-2049"),
-    "o3": ((1.96,), 300, 1, "0-54 55-70 71-85 86-105 106-200"),
-    "so2": ((2.62,), 500, 1, "0-35 36-75 76-185 186-304 305-604 605-804 805-1004"),
-    "co": ((1000.0, 1.145), 500, 10, "0-4.4 4.5-9.4 9.5-12.4 12.5-15.4 15.5-30.4 30.5-40.4 40.5-50.4"),
-}
+    "pm2_5": ((), 500, 10, [
+        (0.0, 12.0, 0, 50),
+        (12.1, 35.4, 51, 100),
+        (35.5, 55.4, 101, 150),
+        (55.5, 150.4, 151, 200),
+        (150.5, 250.4, 201, 300),
+        (250.5, 350.4, 301, 400),
+        (350.5, 500.4, 401, 500),
+    ]),
+    "pm10": ((), 500, 1, [
+        (0, 54, 0, 50),
+        (55, 154, 51, 100),
+        (155, 254, 101, 150),
+        (255, 354, 151, 200),
+        (355, 424, 201, 300),
+        (425, 504, 301, 400),
+        (505, 604, 401, 500),
+    ]),
+    "no2": ((1.88,), 500, 1, [
+        (0, 53, 0, 50),
+        (54, 100, 51, 100),
+        (101, 360, 101, 150),
+        (361, 649, 151, 200),
+        (650, 1249, 201, 300),
+        (1250, 1649, 301, 400),
+        (1650, 2049, 401, 500),
+    ]),
+    "o3": ((1.96,), 300, 1, [
+        (0, 54, 0, 50),
+        (55, 70, 51, 100),
+        (71, 85, 101, 150),
+        (86, 105, 151, 200),
+        (106, 200, 201, 300),
+    ]),
+    "so2": ((2.62,), 500, 1, [
+        (0, 35, 0, 50),
+        (36, 75, 51, 100),
+        (76, 185, 101, 150),
+        (186, 304, 151, 200),
+        (305, 604, 201, 300),
+        (605, 804, 301, 400),
+        (805, 1004, 401, 500),
+    ]),
+    "co": ((1000.0, 1.145), 500, 10, [
+        (0, 4.4, 0, 50),
+        (4.5, 9.4, 51, 100),
+        (9.5, 12.4, 101, 150),
+        (12.5, 15.4, 151, 200),
+        (15.5, 30.4, 201, 300),
+        (30.5, 40.4, 301, 400),
+        (40.5, 50.4, 401, 500),
+    ]),
+}
 
 
 def sub_index_sql(pollutant: str, value: str, contiguous: bool = False) -> str:
@@ -95,8 +140,8 @@ def sub_index_sql(pollutant: str, value: str, contiguous: bool = False) -> str:
     if contiguous:
         amount = f"(floor(round({amount} * {unit}, 6)) / {unit}.0::DOUBLE)"
     arms = []
-    for bracket, (index_low, index_high) in zip(brackets.split(), _INDEX):
-        low, high = map(float, bracket.split("-"))
+    for low, high, index_low, index_high in brackets:
+        low, high = float(low), float(high)
         slope = (index_high - index_low) / (high - low)
         arms.append(
             f"WHEN {amount} BETWEEN '{low}'::DOUBLE AND '{high}'::DOUBLE THEN "

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from catalog.features import FeatureSql
 from catalog.fixture import HOURLY, cleaned, features, readings, with_tables
 from catalog.registry import query, r, rounded
 from hazeline import series
@@ -10,6 +11,7 @@ from hazeline.models.forecast import forecast
 from hazeline.models.predictors import LinearPredictor, tree_predictor
 from hazeline.operators import scaling
 from hazeline.operators.features import TRAIN
+from hazeline.schemas import POLLUTANTS
 from hazeline.session import scratch_path
 
 STEPS = LinearPredictor(
@@ -19,7 +21,7 @@ STEPS = LinearPredictor(
 )
 
 
-@query("M7 M8 M9 M10 M11 L3", with_tables(
+@query("M7 M10", with_tables(
     f"SELECT city, cast(horizon AS INTEGER) AS horizon, last_time + to_hours(horizon) AS timestamp, {r('aqi')} "
     "FROM walk WHERE horizon > 0", "cleaned", recursive=True, extra={
         "newest": """SELECT city, list(aqi::DOUBLE ORDER BY timestamp) AS past, max(timestamp) AS last_time,
@@ -57,6 +59,57 @@ def linear_feature_importance(spark, sf_dir):
     return rounded(attribution.linear_importance(readings(spark, sf_dir), WEIGHTS, ("city",)))
 
 
+@query("M13 M12", with_tables(
+    "SELECT city, timestamp, feature, " + r("phi") + " FROM (" + " UNION ALL ".join(
+        f"SELECT city, timestamp, '{c}' AS feature, {w}::DOUBLE * ({c} - (SELECT avg({c}) FROM known)) AS phi FROM cleaned"
+        for c, w in WEIGHTS.items()) + ")",
+    "cleaned", extra={"known": "SELECT * FROM cleaned ORDER BY timestamp, city LIMIT 50"}))
+def background_contributions(spark, sf_dir):
+    """The attributions of any model, here of one whose exact values are known."""
+    rows = cleaned(spark, sf_dir).select("city", "timestamp", *WEIGHTS)
+    linear = LinearPredictor(tuple(WEIGHTS), tuple(WEIGHTS.values()), 7.0)
+    explained = attribution.interventional_attributions(rows, linear, rows.orderBy("timestamp", "city").limit(50))
+    return rounded(attribution.to_long(explained, linear.features))
+
+
+_SPLIT = """SELECT *, row_number() OVER (PARTITION BY city ORDER BY timestamp)
+    <= floor(count(*) OVER (PARTITION BY city) * 0.8) AS train FROM cleaned"""
+
+
+@query("M1 M2 M5 M6", with_tables(
+    "SELECT city, timestamp, round(least(greatest(slope * pm2_5 + height, 0), 500), 4) + 0.0 AS prediction FROM split, line WHERE NOT train",
+    "cleaned", extra={
+        "split": _SPLIT,
+        "line": "SELECT regr_slope(aqi, pm2_5) AS slope, regr_intercept(aqi, pm2_5) AS height FROM split WHERE train",
+    }))
+def straight_line(spark, sf_dir):
+    """A linear model of one scaled input, fitted, saved, loaded and scored."""
+    split = scaling.chronological_split(series.number_rows(cleaned(spark, sf_dir), HOURLY))
+    linear = fit.baseline_estimators()["linear"]
+    model, path = fit.fit_pipeline(split.where("split = 'train'"), ["pm2_5"], linear), scratch_path(spark, "line")
+    fit.save_model(model, path)
+    scored = fit.predict(fit.load_model(path), split.where("split = 'test'"))
+    return rounded(scored.select("city", "timestamp", "prediction"), 4)
+
+
+_NAMES = {"saved": ["pm2_5", "co", "o3"], "default": [*POLLUTANTS, *FeatureSql().columns("serve")]}
+_LISTED = " UNION ALL ".join(f"SELECT '{k}' AS list, unnest({names}) AS feature" for k, names in _NAMES.items())
+_MEANS = " UNION ALL ".join(f"SELECT '{p}' AS feature, avg({p}) AS mean FROM cleaned" for p in POLLUTANTS)
+
+
+@query("S9 S10 M14 P7", with_tables(
+    f"SELECT list, feature, {r('mean')}, true AS width_fits FROM ({_LISTED}) LEFT JOIN ({_MEANS}) USING (feature)", "cleaned"))
+def model_inputs(spark, sf_dir):
+    """The inputs a saved model names, those taken where none is saved, and the mean of each that is measured."""
+    rows, path = cleaned(spark, sf_dir), scratch_path(spark, "inputs")
+    fit.save_model(fit.fit_pipeline(rows, _NAMES["saved"], fit.baseline_estimators()["ridge"]), path)
+    fits = fit.check_width(fit.load_model(path))
+    lists = {"saved": fit.model_features(spark, path), "default": fit.model_features(spark, f"{path}-none")}
+    listed = spark.createDataFrame([(k, n) for k, names in lists.items() for n in names], "list string, feature string")
+    means = rows.agg(*[F.avg(p).alias(p) for p in POLLUTANTS]).unpivot([], list(POLLUTANTS), "feature", "mean")
+    return rounded(listed.join(means, "feature", "left").select("list", "feature", "mean", F.lit(fits).alias("width_fits")))
+
+
 def training_parts(spark, sf_dir):
     """Training features cut by time, and the names of the model's inputs."""
     numbered = series.stage_numbered(features(spark, sf_dir, TRAIN), HOURLY, "training")
@@ -64,7 +117,7 @@ def training_parts(spark, sf_dir):
     return split.where("split = 'train'"), split.where("split = 'test'"), TRAIN.names
 
 
-@query("M2 M4 M6 M14")
+@query("M2 M6")
 def model_comparison(spark, sf_dir):
     """Errors of the baseline models on the last fifth of each city's rows."""
     train, test, names = training_parts(spark, sf_dir)
@@ -73,7 +126,7 @@ def model_comparison(spark, sf_dir):
     return rounded(fit.compare_models(fitted, test).withColumn("inputs", F.lit(len(names))))
 
 
-@query("M3 M5 S9 S10")
+@query("M3 M4 M5 S9")
 def boosted_errors(spark, sf_dir):
     """Boosted trees stopped early on the last fifth, saved, loaded and scored."""
     train, test, names = training_parts(spark, sf_dir)

@@ -155,6 +155,16 @@ def linear_prediction(spark, sf_dir):
     return rounded(scored.select("event_id", "prediction"))
 
 
+@query("M6 P6 P10 Q12", with_tables(
+    f"SELECT event_id, {r('least(greatest(3 + 0.04::DOUBLE * co - 0.5::DOUBLE * coalesce(pm10, 0), 0), 500)', 'prediction')} FROM samples",
+    "samples"))
+def linear_prediction_with_gaps(spark, sf_dir):
+    """All samples are scored; an amount that is missing counts as 0."""
+    filled = samples(spark, sf_dir).na.fill(0.0, ["pm10"])
+    scored = scaling.score_linear(filled, {"co": 0.04, "pm10": -0.5}, 3.0, keep=("event_id",))
+    return rounded(scored.select("event_id", "prediction"))
+
+
 _LONG = " UNION ALL ".join(f"SELECT city, '{p}' AS feature, abs({p}) AS size FROM readings" for p in POLLUTANTS)
 
 

@@ -51,33 +51,31 @@ def composite_index_contiguous(spark, sf_dir):
     return aqi.with_aqi(samples(spark, sf_dir), mode="contiguous").select("event_id", "aqi")
 
 
-# Fixed values of the health categories, kept apart from the library's own table: the upper
-# limits, and name, colour, tint, icon and message of each category.
-_LIMITS = (50, 100, 150, 200, 300)
-_PARTS = {
-    "category": ("Good", "Moderate", "Unhealthy for Sensitive Groups", "Unhealthy", "Very Unhealthy", "Hazardous"),
-    "color": ("#00E400", "#D4B800", "#FF7E00", "#FF0000", "#8F3F97", "#7E0023"),
-    "tint": ("rgba(0,228,0,0.12)", "rgba(255,215,0,0.12)", "rgba(255,126,0,0.12)", "rgba(255,0,0,0.12)",
-             "rgba(143,63,151,0.12)", "rgba(126,0,35,0.12)"),
-    "icon": ("🟢", "🟡", "🟠", "🔴", "🟣", "⛔"),
-    "message": (
-        "Air quality is satisfactory and poses little or no risk. Enjoy outdoor activities freely.",
-        "Air quality is acceptable. Unusually sensitive individuals should consider reducing prolonged outdoor exertion.",
-        "Sensitive groups may experience health effects. The general public is not likely to be affected.",
-        "Everyone may begin to experience health effects. Limit prolonged outdoor exertion.",
-        "Health alert — everyone may experience serious health effects. Wear N95 masks if going outside.",
-        "🚨 Emergency conditions. Stay indoors, seal windows, use air purifiers.",
-    ),
-}
+# Fixed values of the health categories: upper limit, name, colour, tint, icon and message.
+_PARTS = ("category", "color", "tint", "icon", "message")
+_CATEGORIES = [
+    (50, "Good", "#00E400", "rgba(0,228,0,0.12)", "🟢",
+     "Air quality is satisfactory and poses little or no risk. Enjoy outdoor activities freely."),
+    (100, "Moderate", "#D4B800", "rgba(255,215,0,0.12)", "🟡",
+     "Air quality is acceptable. Unusually sensitive individuals should consider reducing prolonged outdoor exertion."),
+    (150, "Unhealthy for Sensitive Groups", "#FF7E00", "rgba(255,126,0,0.12)", "🟠",
+     "Sensitive groups may experience health effects. The general public is not likely to be affected."),
+    (200, "Unhealthy", "#FF0000", "rgba(255,0,0,0.12)", "🔴",
+     "Everyone may begin to experience health effects. Limit prolonged outdoor exertion."),
+    (300, "Very Unhealthy", "#8F3F97", "rgba(143,63,151,0.12)", "🟣",
+     "Health alert — everyone may experience serious health effects. Wear N95 masks if going outside."),
+    (None, "Hazardous", "#7E0023", "rgba(126,0,35,0.12)", "⛔",
+     "🚨 Emergency conditions. Stay indoors, seal windows, use air purifiers."),
+]
 # The guideline amount of each pollutant.
 _GUIDELINES = {"pm2_5": 75.0, "pm10": 150.0, "no2": 100.0, "so2": 75.0, "o3": 100.0, "co": 4.0}
 
 
 def category_sql(value: str, part: str = "category") -> str:
     shown = f"greatest(0, cast(trunc(coalesce({value}, 0)) AS INTEGER))"
-    *named, last = _PARTS[part]
-    arms = " ".join(f"WHEN {shown} <= {limit} THEN '{name}'" for limit, name in zip(_LIMITS, named))
-    return f"CASE {arms} ELSE '{last}' END"
+    values = [(row[0], row[1 + _PARTS.index(part)]) for row in _CATEGORIES]
+    arms = " ".join(f"WHEN {shown} <= {limit} THEN '{value}'" for limit, value in values[:-1])
+    return f"CASE {arms} ELSE '{values[-1][1]}' END"
 
 
 @query(

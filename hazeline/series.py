@@ -25,6 +25,7 @@ BLOCK = "_block"  # block a row is processed in
 OWN = "_own"      # false for halo rows
 CHUNK = "_chunk"  # time slice that positions are first counted in
 INDEX = "_index"  # 1-based position within a chunk or block
+UNTIMED = 1024    # parts that a city's rows without a time are cut into
 BOOKKEEPING = (POS, ROWS, BLOCK, OWN, CHUNK, INDEX)
 
 
@@ -64,9 +65,10 @@ def fit_chunks(df: DataFrame, layout: Layout = DEFAULT, target_rows: int = 1_000
 
 
 def chunk_of(layout: Layout = DEFAULT) -> Column:
-    """The time slice of a row; rows without a time come first, in slices drawn by a hash of their ties."""
+    """The time slice of a row. Rows without a time come first, in UNTIMED parts drawn by a hash of their ties."""
     seconds = F.unix_seconds(F.col(layout.time).cast("timestamp"))
-    return F.coalesce(F.floor(seconds / layout.chunk_seconds), F.lit(-(2**62)))
+    part = F.pmod(F.xxhash64(*(layout.ties or ("*",))), F.lit(UNTIMED))
+    return F.coalesce(F.floor(seconds / layout.chunk_seconds), F.lit(-(2**62)) + part)
 
 
 def index_chunks(df: DataFrame, layout: Layout = DEFAULT, label: str = "chunks") -> DataFrame:
