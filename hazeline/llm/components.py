@@ -6,21 +6,29 @@ from pyspark.sql import functions as F
 from hazeline.session import write_and_reread
 
 
+def _rank(node: str):
+    """The order in which nodes give way to each other: random, but the same in every round."""
+    return F.struct(F.xxhash64(node).alias("h"), F.col(node).alias("node"))
+
+
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, component`` (the smallest node reached) of every node that has a link.
 
-    Each round every label takes the smallest label beside it, and the links are carried
-    over to the new labels and freed of loops and repetitions. A hub needs only a minimum,
-    never its list of neighbours. Rounds are kept as tables, so a lost executor costs one
-    round at most; they end when no link is left.
+    Each round every node gives way to the one of the lowest rank among itself and its
+    neighbours, and the links are carried over to those and freed of loops and repetitions.
+    Ranks are hashes, so that of a chain, in whatever order its nodes are numbered, less
+    than two thirds stay a round, and a hub's neighbours are gone in two: rounds are few
+    however long the chains. A hub needs only a minimum, never its list of neighbours.
+    Rounds are kept as tables, so a lost executor costs one round at most; they end when no
+    link is left.
     """
     ends = links.select(F.col(a).alias("u"), F.col(b).alias("v"))
     both = ends.union(ends.select("v", "u")).where(F.col("u") != F.col("v")).distinct()
     edges = write_and_reread(both, "edges")
     labels = None
     while not edges.isEmpty():
-        moved = edges.groupBy("u").agg(F.min("v").alias("v"))
-        moved = write_and_reread(moved.select(F.col("u").alias("from"), F.least("u", "v").alias("to")), "moved")
+        lowest = F.least(F.first(_rank("u")), F.min(_rank("v")))["node"]
+        moved = write_and_reread(edges.groupBy("u").agg(lowest.alias("to")).withColumnRenamed("u", "from"), "moved")
         if labels is None:
             labels = moved.select(F.col("from").alias("node"), F.col("to").alias("component"))
         else:
@@ -29,13 +37,15 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 stepped.select("node", F.coalesce("to", "component").alias("component")), "labels"
             )
         carried = (
-            edges.join(moved.withColumnsRenamed({"from": "u", "to": "to_u"}), "u")
+            edges.where(F.col("u") < F.col("v"))
+            .join(moved.withColumnsRenamed({"from": "u", "to": "to_u"}), "u")
             .join(moved.withColumnsRenamed({"from": "v", "to": "to_v"}), "v")
-            .where(F.col("to_u") < F.col("to_v"))
-            .select(F.col("to_u").alias("u"), F.col("to_v").alias("v"))
+            .where(F.col("to_u") != F.col("to_v"))
+            .select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v"))
             .distinct()
         )
         edges = write_and_reread(carried.union(carried.select("v", "u")), "edges")
     if labels is None:
         return ends.select(F.col("u").alias("node"), F.col("u").alias("component")).where(F.lit(False))
-    return labels
+    least = labels.groupBy("component").agg(F.min("node").alias("least"))
+    return labels.join(least, "component").select("node", F.col("least").alias("component"))

@@ -14,14 +14,22 @@ its sketch. Documents with equal sets are one node from the start. Then:
    any plausible estimate is dropped. Of the others the full sets are built from the texts
    and compared exactly, and the links give components.
 3. *Strays.* Any two nodes of a list have its centre in common, so what is left are pairs of
-   nodes around one centre, at least one of them outside the centre's component. Strays are
-   held against all nodes around their centre in blocks of bounded size, sets of too
-   different sizes apart: a block compares the full sets of its two sides at once, as a
-   product of indicator matrices, and gives one link for each stray and other component.
+   nodes around one centre, at least one of them outside the centre's component. All nodes
+   around a centre that has strays go through steps 1 and 2 once more with larger sketches,
+   and what then has strays with the largest. A larger sketch asks for a share of common values
+   that is nearer to the one that similar sets have, so that fewer of the values of a
+   shared passage are listed: documents of which half is the same page template meet in no list
+   of the last level. Pairs that are in one component already are not compared again.
+4. *Blocks.* The last strays are held against all nodes around their centre in blocks of
+   bounded size, sets of too different sizes apart: a block compares the sketches of its
+   two sides at once, as a product of indicator matrices, and only the texts of what they do
+   not rule out are fetched. A stray needs one link to each other component, so these pairs are compared in
+   waves, each a larger share of what is left; pairs that the links of a wave have joined are not compared.
    Nodes within the centre's component are never paired with each other.
 
-The chance that a pair of exactly the threshold's similarity shares fewer than LEAST_SHARED
-of K values is below 1e-6; sets up to 0.8 K are compared as a whole, without chance.
+LEVELS has the size of each level's sketches and how many values two sets of exactly the
+threshold's similarity share but for a chance below 1e-6; sets up to 0.8 of a sketch's size are compared as a
+whole, without chance.
 
 Edge cases: null texts and texts without words have no shingles, link with nothing and are
 their own component; shorter texts than a shingle are one shingle; repeated rows are copies;
@@ -42,14 +50,17 @@ from hazeline.llm.common import keyed, row_keys
 from hazeline.llm.components import connected
 from hazeline.session import write_and_reread
 
-#: Values of a sketch, and how many of them two sets of the asked similarity share at least.
-K, LEAST_SHARED = 32, 13
+#: Values of a sketch, and how many of them two sets of the asked similarity share at least, by level.
+LEVELS = ((32, 13), (128, 79), (512, 364))
+K = LEVELS[0][0]
 #: Asked similarity, in hundredths.
 SIMILAR = 80
 #: Words of a shingle where nothing else is said.
 WIDTH = 5
 #: Nodes of one side of a block, on average, and columns of an indicator matrix at most.
 BLOCK, COLUMNS = 512, 8192
+#: Pairs of a stray and a component that the first wave compares, and how many times more each next one.
+WAVE, WIDER = 1, 16
 REMEMBERED = 150_000
 
 
@@ -109,18 +120,19 @@ def _nodes(sketches: DataFrame) -> DataFrame:
     return sets.select(F.monotonically_increasing_id().alias("node"), "set_key", "doc_id", "one.*")
 
 
-def least_shared(n: Column) -> Column:
+def least_shared(n: Column, level: int = 0) -> Column:
     """How many sketch values a set of this size shares with any that is similar enough."""
+    size, least = LEVELS[level]
     whole = F.ceil(n * SIMILAR / 100)  # so small that any partner's sketch is its whole set
-    return F.when(n <= K * SIMILAR // 100, whole).otherwise(F.lit(LEAST_SHARED)).cast("int")
+    return F.when(n <= size * SIMILAR // 100, whole).otherwise(F.lit(least)).cast("int")
 
 
-def _lists(nodes: DataFrame) -> DataFrame:
+def _lists(nodes: DataFrame, level: int = 0) -> DataFrame:
     """``value, node, n, common``: the lists' entries; ``common`` sums how often the node's values occur."""
     entries = nodes.select("node", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
     often = entries.groupBy("value").agg(F.count("*").alias("often")).where(F.col("often") > 1)
     shared = entries.join(often, "value")
-    own = Window.partitionBy("node")  # at most K rows
+    own = Window.partitionBy("node")  # at most a sketch's rows
     ranked = shared.select(
         "*",
         F.row_number().over(own.orderBy("often", "value")).alias("rank"),
@@ -128,7 +140,7 @@ def _lists(nodes: DataFrame) -> DataFrame:
         F.sum("often").over(own).alias("common"),
     )
     # values that no other node has come first in the order and need no list
-    first = F.col("kept") - least_shared(F.col("n")) + 1 - (F.col("kept") - F.col("met"))
+    first = F.col("kept") - least_shared(F.col("n"), level) + 1 - (F.col("kept") - F.col("met"))
     return ranked.where(F.col("rank") <= first).select("value", "node", "n", "common")
 
 
@@ -144,16 +156,27 @@ def _around(lists: DataFrame) -> DataFrame:
     return lists.join(named, "value").select("centre", "centre_n", "node", "n").distinct()
 
 
+def _placed(around: DataFrame, components: DataFrame) -> DataFrame:
+    """The nodes around each centre with their components, and whether that is another than the centre's."""
+    found = components.withColumnRenamed("component", "found")
+    own = around.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).drop("found")
+    home = found.withColumnsRenamed({"node": "centre", "found": "home"})
+    return own.join(home, "centre", "left").withColumn("stray", F.col("component") != F.coalesce("home", "centre"))
+
+
+def _near_strays(around: DataFrame, components: DataFrame) -> DataFrame:
+    """``node``: all nodes around centres that have strays."""
+    own = _placed(around, components)
+    return own.join(own.where("stray").select("centre").distinct(), "centre", "left_semi").select("node").distinct()
+
+
 def _strays(around: DataFrame, components: DataFrame) -> DataFrame:
     """Strays and the nodes around their centres, dealt to pairs of blocks.
 
     A block is a part of the nodes of one centre and one class of sizes, drawn by a hash;
     the parts' numbers follow from counts. ``side`` a has the strays, side b all nodes.
     """
-    found = components.withColumnRenamed("component", "found")
-    own = around.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).drop("found")
-    home = found.withColumnsRenamed({"node": "centre", "found": "home"})
-    own = own.join(home, "centre", "left").withColumn("stray", F.col("component") != F.coalesce("home", "centre"))
+    own = _placed(around, components)
     # sets that are similar enough are in one class or in neighbouring ones
     own = own.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int"))
     parts = lambda count: F.ceil(count / BLOCK).cast("int")
@@ -201,53 +224,85 @@ def common_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _links_of_strays(strays: DataFrame, nodes: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``a, b`` of similar pairs from different components, one for each stray and component."""
+def _candidates(left: pd.DataFrame, right: pd.DataFrame, most: int, size: int, least: int) -> pd.DataFrame:
+    """Pairs of a block that the sketch of their union does not rule out.
+
+    Of each stray and other component the ``most`` with the highest estimates are given;
+    ``cut`` says that there are more. ``size`` and ``least`` are those of the sketches' level.
+    """
+    sketches = [[np.asarray(s, dtype=np.int64) for s in side["sketch"]] for side in (left, right)]
+    common = common_sizes(*sketches)
+    kept = [np.array([len(s) for s in side]) for side in sketches]
+    n = [side["n"].to_numpy() for side in (left, right)]
+    either = kept[0][:, None] + kept[1][None, :] - common
+    whole = (n[0] <= size)[:, None] & (n[1] <= size)[None, :]
+    possible = np.where(whole, common * 100 >= either * SIMILAR, common >= least)
+    possible &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
+    rows, places = np.nonzero(possible)
+    seen = np.array([_seen(sketches[0][r], sketches[1][p], size) for r, p in zip(rows, places)], dtype=float)
+    good = whole[rows, places] | (seen >= least)
+    pairs = pd.DataFrame({
+        "a": left["node"].to_numpy()[rows], "b": right["node"].to_numpy()[places],
+        "component": right["component"].to_numpy()[places], "seen": seen,
+    })[good]
+    pairs = pairs.sort_values(["a", "component", "seen", "b"], ascending=[True, True, False, True])
+    place = pairs.groupby(["a", "component"]).cumcount()
+    counts = pairs.groupby(["a", "component"])["b"].transform("size") if len(pairs) else place
+    return pairs.assign(cut=counts > most)[place < most][["a", "b", "cut"]]
+
+
+def _seen(a: np.ndarray, b: np.ndarray, size: int) -> int:
+    """How many values of the sketch of a union are in both sketches."""
+    union = np.union1d(a, b)[:size]
+    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True))
+
+
+def _in_blocks(strays: DataFrame, nodes: DataFrame, most: int, level: int) -> DataFrame:
+    """``a, b, cut``: the candidate pairs of all blocks."""
+
+    size, least = LEVELS[level]
 
     def compare(block: pd.DataFrame) -> pd.DataFrame:
-        a, b = block[block["side"] == "a"], block[block["side"] == "b"]
-        links = []
-        if len(a) and len(b):
-            left, right = ([shingle_set(t, width) for t in side["text"]] for side in (a, b))
-            common = common_sizes(left, right)
-            sizes = np.array([len(s) for s in left])[:, None] + np.array([len(s) for s in right])[None, :]
-            apart = a["component"].to_numpy()[:, None] != b["component"].to_numpy()[None, :]
-            rows, places = np.nonzero(apart & (100 * common >= SIMILAR * (sizes - common)))
-            found = pd.DataFrame(
-                {
-                    "a": a["node"].to_numpy()[rows],
-                    "b": b["node"].to_numpy()[places],
-                    "component": b["component"].to_numpy()[places],
-                }
-            )
-            links.append(found.drop_duplicates(["a", "component"])[["a", "b"]])
-        return pd.concat(links) if links else pd.DataFrame({"a": [], "b": []}, dtype="int64")
-
-    places = strays.join(nodes.select("node", "id_key", "version"), "node")
-    texts = keyed(docs).select("id_key", "version", "text")
-    dealt = places.join(texts, ["id_key", "version"]).drop("id_key", "version")
+        left, right = block[block["side"] == "a"], block[block["side"] == "b"]
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": [], "b": [], "cut": []})
+        return _candidates(left, right, most, size, least)
+
     block = ["centre", "class_a", "part_a", "class_b", "part_b"]
-    return dealt.groupBy(*block).applyInPandas(compare, "a long, b long")
+    dealt = strays.join(nodes.select("node", "n", "sketch"), "node")
+    return dealt.groupBy(*block).applyInPandas(compare, "a long, b long, cut boolean")
+
+
+def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """The pairs of nodes that are in different components."""
+    for end in ("a", "b"):
+        named = components.withColumnsRenamed({"node": end, "component": f"_{end}"})
+        pairs = pairs.join(named, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    return pairs.where("_a <> _b").drop("_a", "_b")
 
 
-def _plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that the sketch of their union does not rule out, with the places of their texts."""
-    facts = ["n", "sketch", "id_key", "version"]
+def _plausible(pairs: DataFrame, nodes: DataFrame, level: int = 0, places=()) -> DataFrame:
+    """The pairs that the sketch of their union does not rule out, with ``places`` of their nodes."""
+    size, least = LEVELS[level]
+    facts = ["n", "sketch", *places]
     for end in ("a", "b"):
         pairs = pairs.join(nodes.select(F.col("node").alias(end), *[F.col(f).alias(f"{f}_{end}") for f in facts]), end)
     both, either = F.array_intersect("sketch_a", "sketch_b"), F.array_union("sketch_a", "sketch_b")
-    seen = F.size(F.array_intersect(both, F.slice(F.array_sort(either), 1, K)))
-    whole = (F.col("n_a") <= K) & (F.col("n_b") <= K)
-    fits = F.when(whole, F.size(both) * 100 >= F.size(either) * SIMILAR).otherwise(seen >= LEAST_SHARED)
-    return pairs.where(fits).select("a", "b", *[f"{f}_{e}" for e in ("a", "b") for f in ("id_key", "version")])
+    seen = F.size(F.array_intersect(both, F.slice(F.array_sort(either), 1, size)))
+    whole = (F.col("n_a") <= size) & (F.col("n_b") <= size)
+    fits = F.when(whole, F.size(both) * 100 >= F.size(either) * SIMILAR).otherwise(seen >= least)
+    return pairs.where(fits).select("a", "b", *[f"{f}_{e}" for e in ("a", "b") for f in places])
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``a, b`` of the pairs whose full shingle sets are similar enough."""
-    texts = keyed(docs).select("id_key", "version", "text")
+def _verified(pairs: DataFrame, texts: DataFrame, keys, width: int) -> DataFrame:
+    """``a, b`` of the pairs whose full shingle sets are similar enough.
+
+    ``texts`` has a text for each value of the ``keys``, which the pairs have as ``<key>_a`` and ``<key>_b``.
+    """
+    keys = list(keys)
     for end in ("a", "b"):
-        pairs = pairs.withColumnsRenamed({f"id_key_{end}": "id_key", f"version_{end}": "version"})
-        pairs = pairs.join(texts, ["id_key", "version"]).withColumnRenamed("text", f"text_{end}").drop("id_key", "version")
+        pairs = pairs.withColumnsRenamed({f"{k}_{end}": k for k in keys})
+        pairs = pairs.join(texts, keys).withColumnRenamed("text", f"text_{end}").drop(*keys)
 
     def run(batches):
         last, kept = None, None
@@ -264,18 +319,73 @@ def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInPandas(run, "a long, b long")
 
 
+def _sketches_of(texts: DataFrame, width: int, size: int) -> DataFrame:
+    """``node, n, sketch`` from ``node, text``."""
+
+    def run(batches):
+        for batch in batches:
+            sets = [shingle_set(t, width) for t in batch["text"]]
+            yield pd.DataFrame({"node": batch["node"], "n": [len(s) for s in sets], "sketch": [s[:size] for s in sets]})
+
+    return texts.mapInPandas(run, "node long, n long, sketch array<long>")
+
+
+def _stars(around: DataFrame) -> DataFrame:
+    """Each node paired with the centres it is around."""
+    stars = around.where((F.col("node") != F.col("centre")) & _sizes_fit("n", "centre_n"))
+    return stars.select(F.col("node").alias("a"), F.col("centre").alias("b"))
+
+
+def _on_places(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumns({"node_a": F.col("a"), "node_b": F.col("b")})
+
+
 def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document, and ``id_key, version, component``."""
     sketches = write_and_reread(sketched(docs, width), "sketches")
     nodes = write_and_reread(_nodes(sketches), "nodes")
     lists = write_and_reread(_lists(nodes), "lists")
     around = write_and_reread(_around(lists), "around")
-    stars = around.where((F.col("node") != F.col("centre")) & _sizes_fit("n", "centre_n"))
-    pairs = _plausible(stars.select(F.col("node").alias("a"), F.col("centre").alias("b")), nodes)
-    links = write_and_reread(_verified(pairs, docs, width), "links")
-    strays = _strays(around, connected(links))
-    more = write_and_reread(_links_of_strays(strays, nodes, docs, width), "strays")
-    return _labelled(sketches, nodes, connected(links.unionByName(more)))
+    place = ["id_key", "version"]
+    all_texts = keyed(docs).select(*place, "text")
+    pairs = _plausible(_stars(around), nodes, places=place)
+    links = write_and_reread(_verified(pairs, all_texts, place, width), "links")
+    components = connected(links)
+
+    near = write_and_reread(_near_strays(around, components), "near")
+    if not near.isEmpty():
+        wanted = nodes.join(near, "node").select("node", *place)
+        texts = write_and_reread(wanted.join(all_texts, place).select("node", "text").dropDuplicates(["node"]), "texts")
+        links, components = _linked_again(texts, near, links, components, width)
+    return _labelled(sketches, nodes, components)
+
+
+def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, components: DataFrame, width: int):
+    """Links and components after the further levels and the blocks, for the nodes near strays."""
+    for level in range(1, len(LEVELS)):
+        own = texts.join(near, "node", "left_semi")
+        nodes = write_and_reread(_sketches_of(own, width, LEVELS[level][0]), "nodes")
+        around = write_and_reread(_around(write_and_reread(_lists(nodes, level), "lists")), "around")
+        pairs = _plausible(_apart(_stars(around), components), nodes, level)
+        more = write_and_reread(_verified(_on_places(pairs), texts, ["node"], width), "links")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            components = connected(links)
+        near = write_and_reread(_near_strays(around, components), "near")
+        if near.isEmpty():
+            return links, components
+
+    most, level = WAVE, len(LEVELS) - 1
+    while True:
+        strays = _strays(around, components)
+        found = write_and_reread(_in_blocks(strays, nodes, most, level), "candidates")
+        more = _verified(_on_places(found.select("a", "b").distinct()), texts, ["node"], width)
+        links = links.unionByName(write_and_reread(more, "strays"))
+        components = connected(links)
+        left = _apart(found.where("cut").select("a", "b").distinct(), components)
+        if left.isEmpty():
+            return links, components
+        most *= WIDER
 
 
 def _labelled(sketches: DataFrame, nodes: DataFrame, components: DataFrame) -> DataFrame:

@@ -132,6 +132,43 @@ def test_groups_equal_brute_force(spark, width):
     assert found == brute_groups(texts, width)
 
 
+def template_copies(seed=9):
+    """Pages of which a half is the same template, pairs of near copies among them, and one original that all resemble."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    template = words(rng, 100, vocabulary)
+    texts = [template + words(rng, rng.choice([20, 60, 100]), vocabulary) for _ in range(60)]
+    for k in range(0, 60, 3):
+        copy = list(texts[k])
+        copy[-rng.randint(1, 3)] = "changed"
+        texts.append(copy)
+    return [(i * 5, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("levels", [((32, 13), (128, 79), (512, 364)), ((8, 2), (16, 4), (32, 13)), ((8, 1), (8, 1))])
+@pytest.mark.parametrize("wave", [1, 1000])
+def test_strays_equal_brute_force(spark, monkeypatch, levels, wave):
+    """Short sketches make most nodes strays, so that every level and the blocks have work."""
+    monkeypatch.setattr(neardup, "LEVELS", levels)
+    monkeypatch.setattr(neardup, "K", levels[0][0])
+    monkeypatch.setattr(neardup, "WAVE", wave)
+    monkeypatch.setattr(neardup, "WIDER", 3)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    texts = template_copies()
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(documents(spark, texts), 4).collect()}
+    assert found == brute_groups(texts, 4)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds = []
+    write = components.write_and_reread
+    monkeypatch.setattr(components, "write_and_reread", lambda df, label: rounds.append(label) or write(df, label))
+    df = spark.range(1000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = components.connected(df)
+    assert found.agg(F.max("component"), F.count("*")).first() == (0, 1001)
+    assert rounds.count("moved") <= 20
+
+
 def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 200)]
     df = spark.createDataFrame(links, "a long, b long")
