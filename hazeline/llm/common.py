@@ -55,3 +55,14 @@ def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, id_key, version, text`` with null texts empty."""
     keys = [key.alias(name) for name, key in row_keys().items()]
     return docs.select("doc_id", *keys, text_or_empty().alias("text"))
+
+
+def apart(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as tell it from all columns of a table."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out

@@ -9,7 +9,8 @@ Only around runs that the benchmark has are full windows looked up, by their wor
 Edge cases: null texts and texts without words have no words, no hits and the digest of the
 empty string; items without words have no window; repeated item ids with different texts
 count as one item; rows with the same doc_id and text give equal rows; rows that share a
-doc_id but not the text are kept apart; other columns are not read.
+doc_id but not the text are kept apart; very long texts are read whole, once, and only the words around
+runs that the benchmark has move; other columns are not read, whatever their names.
 """
 
 from functools import reduce
@@ -17,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.common import all_matches, ascii_lower, sha256, text_or_empty
+from hazeline.llm.common import all_matches, apart, ascii_lower, sha256, text_or_empty
 
 #: What stands between words, after lower-casing: ASCII other than digits and a-z.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -61,39 +62,32 @@ def _sent(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _cut_hits(words: DataFrame, grams: DataFrame, width: int, rows: int) -> DataFrame:
-    """Places of the fixed runs that some window of this width holds."""
-    run = run_width(width)
-    inside = F.sequence(F.lit(0), F.lit(width - run))
-    known = (
-        grams.where(F.col("width") == width)
-        .select(F.explode(F.transform(inside, lambda i: _key(F.split("words", GAP), i, run))).alias("run"))
-        .select(F.xxhash64("run").alias("run"))
-        .distinct()
-    )
-    last = F.floor((F.size("words") - run) / run).cast("int")
-    cuts = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(_key(F.col("words"), i * run, run)))
-    return (
-        words.where(F.size("words") >= run)
-        .select("doc_id", "version", F.posexplode(cuts).alias("cut", "run"))
-        .join(_sent(known, rows * run), "run", "left_semi")
-        .select("doc_id", "version", F.struct(F.lit(width).alias("width"), (F.col("cut") * run).alias("at")).alias("run"))
-    )
+def _runs(grams: DataFrame, widths: list[int]) -> DataFrame:
+    """``width, run``: hashes of the runs inside the windows of each width."""
+    def of(width):
+        run = run_width(width)
+        inside = F.sequence(F.lit(0), F.lit(width - run))
+        own = grams.where(F.col("width") == width)
+        return own.select("width", F.explode(F.transform(inside, lambda i: _key(F.split("words", GAP), i, run))).alias("run"))
+
+    return reduce(DataFrame.unionByName, map(of, widths)).select("width", F.xxhash64("run").alias("run")).distinct()
+
 
+def _cuts(widths: list[int]) -> Column:
+    """``width, at, run`` of the fixed runs of a document, for all widths."""
+    words = F.col("words")
 
-def _starts(runs: Column) -> Column:
-    """Where windows may begin that hold one of the runs."""
-    first = lambda r: F.greatest(F.lit(0), r["at"] - r["width"] + F.floor((r["width"] + 1) / 2).cast("int"))
-    return F.array_distinct(
-        F.flatten(
-            F.transform(
-                runs,
-                lambda r: F.transform(
-                    F.sequence(first(r), r["at"]), lambda s: F.struct(r["width"].alias("width"), s.alias("at"))
-                ),
-            )
+    def of(width):
+        run = run_width(width)
+        last = F.floor((F.size(words) - run) / run).cast("int")
+        runs = F.transform(
+            F.sequence(F.lit(0), last),
+            lambda i: F.struct(F.lit(width).alias("width"), (i * run).alias("at"), F.xxhash64(_key(words, i * run, run)).alias("run")),
         )
-    )
+        none = F.array().cast("array<struct<width: int, at: int, run: bigint>>")
+        return F.when(F.size(words) >= run, runs).otherwise(none)
+
+    return F.concat(*map(of, widths))
 
 
 def versions(docs: DataFrame) -> DataFrame:
@@ -121,16 +115,21 @@ def hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFra
     if not sizes:
         nothing = [F.array().cast(f"array<{kind}>").alias(name) for name, kind in (("hit_at", "int"), ("items", "string"))]
         return texts.select("doc_id", "version", *nothing).where(F.lit(False))
+    widths = sorted(sizes)
     words = texts.select("doc_id", "version", words_of(F.col("text")).alias("words"))
-    near = reduce(DataFrame.unionByName, [_cut_hits(words, grams, width, rows) for width in sorted(sizes)])
-    places = near.groupBy("doc_id", "version").agg(F.collect_set("run").alias("runs"))
-    suspects = _same(texts, places, "inner").dropDuplicates(["doc_id", "version"])
-    window_at = lambda s: F.struct(s["width"].alias("width"), s["at"].alias("at"), _key(F.col("words"), s["at"], s["width"]).alias("words"))
-    looked_up = suspects.select("doc_id", "version", words_of(F.col("text")).alias("words"), _starts(F.col("runs")).alias("starts")).select(
-        "doc_id", "version", F.explode(F.transform("starts", window_at)).alias("w")
+    # a run takes the words around it along, as many as the windows that hold it have, so that
+    # the text is read once and is not shuffled
+    first = F.greatest(F.lit(0), F.col("at") + F.floor((F.col("width") + 1) / 2).cast("int") - F.col("width"))
+    near = F.slice("words", first + 1, F.col("at") - first + F.col("width"))
+    runs = (
+        words.select("doc_id", "version", "words", F.inline(_cuts(widths)))
+        .select("doc_id", "version", "width", "run", first.alias("first"), (F.col("at") - first).alias("more"), near.alias("near"))
+        .join(_sent(_runs(grams, widths), rows * run_width(window)), ["width", "run"], "left_semi")
     )
+    window_at = lambda i: F.struct((F.col("first") + i).alias("at"), _key(F.col("near"), i, F.col("width")).alias("words"))
+    windows = runs.select("doc_id", "version", "width", F.inline(F.transform(F.sequence(F.lit(0), F.col("more")), window_at)))
     by_words = grams.groupBy("width", "words").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
-    verified = looked_up.select("doc_id", "version", "w.*").join(_sent(by_words, rows), ["width", "words"])
+    verified = windows.join(_sent(by_words, rows), ["width", "words"])
     inside = F.sequence(F.col("at"), F.col("at") + F.col("width") - 1)
     united = lambda column: F.array_sort(F.array_distinct(F.flatten(F.collect_set(column))))
     return verified.groupBy("doc_id", "version").agg(united(inside).alias("hit_at"), united("items").alias("items"))
@@ -158,25 +157,37 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
     ``remove="documents"`` leaves out every document with a hit. ``remove="spans"`` keeps
     them and puts a line break in place of each run of hit words.
     """
-    found = hits(docs, benchmark, window)
-    found = found.withColumnsRenamed({"doc_id": "_doc_id", "version": "_version", "hit_at": "_hit_at", "items": "_items"})
-    on = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.xxhash64(text_or_empty()) == F.col("_version"))
+    doc_id, version, hit_at, at = apart(docs, "_doc_id", "_version", "_hit_at", "_at")
+    found = hits(docs, benchmark, window).select(
+        F.col("doc_id").alias(doc_id), F.col("version").alias(version), F.col("hit_at").alias(hit_at)
+    )
+    on = F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.xxhash64(text_or_empty()) == F.col(version))
     if remove == "documents":
         return docs.join(found, on, "left_anti")
     if remove != "spans":
         raise ValueError(f"remove is 'documents' or 'spans', not {remove!r}")
     # words and what stands between them alternate: gap, word, gap, ..., word, gap
     gaps, words = F.split("text", WORD_ANY_CASE, -1), all_matches(F.col("text"), WORD_ANY_CASE)
+    joined = docs.join(found, on, "left").withColumn(at, _marks(F.col(hit_at), F.size(gaps)))
     kept = F.transform(
         gaps,
         lambda gap, i: F.concat(
-            F.when((i > 0) & F.array_contains("_hit_at", i - 1) & F.array_contains("_hit_at", i), F.lit("")).otherwise(gap),
+            F.when((i > 0) & F.get(F.col(at), i - 1) & F.get(F.col(at), i), F.lit("")).otherwise(gap),
             F.when(i >= F.size(gaps) - 1, F.lit(""))
-            .when(~F.array_contains("_hit_at", i), F.get(words, i))
-            .when(F.array_contains("_hit_at", i - 1), F.lit(""))
+            .when(~F.get(F.col(at), i), F.get(words, i))
+            .when((i > 0) & F.get(F.col(at), F.greatest(i - 1, F.lit(0))), F.lit(""))
             .otherwise(F.lit("\n")),
         ),
     )
-    text = F.when(F.col("_hit_at").isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
+    text = F.when(F.col(hit_at).isNull(), F.col("text")).otherwise(F.array_join(kept, ""))
     columns = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return docs.join(found, on, "left").select(*columns)
+    return joined.select(*columns)
+
+
+def _marks(places: Column, count: Column) -> Column:
+    """Whether each number below ``count`` is among the sorted places: the runs of others between them, put together."""
+    before = F.concat(F.array(F.lit(-1)), places)
+    after = F.concat(places, F.array(count))
+    gaps = F.zip_with(before, after, lambda a, b: F.array_repeat(F.lit(False), b - a - 1))
+    ends = F.transform(gaps, lambda run, i: F.when(i < F.size(places), F.concat(run, F.array(F.lit(True)))).otherwise(run))
+    return F.flatten(ends)
