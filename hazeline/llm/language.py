@@ -11,7 +11,8 @@ For scoring, embeddings and output weights are multiplied once, so a text costs
 per subword, added for a block of texts at a time.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; without learned
-languages every text is ``und``; repeated rows get equal results; other columns are not read.
+languages every text is ``und``; of equally likely languages the first by name; repeated rows
+get equal results; very long texts are hashed whole, in blocks; other columns are not read.
 """
 
 from dataclasses import dataclass
@@ -21,16 +22,15 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hazeline.llm.common import held_out, id_text
 
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
 WIDTH = 12
-#: Documents of each language in the sample, about, and of all languages at most.
+#: Documents of each language in the sample at most, and of all languages, unless there are more languages than that.
 SAMPLE_EACH, SAMPLE = 700, 3_500
-#: Languages learned at most, the most frequent ones.
-LANGUAGES = 500
 EPOCHS, BATCH, RATE = 12, 64, 2.0
 #: Bytes hashed at once, which bounds the working arrays of a very long text.
 BLOCK = 1 << 20
@@ -93,7 +93,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def fit(x: np.ndarray, y: np.ndarray, languages: list[str]) -> Model:
-    """``x``: rows of subword shares, at most SAMPLE; every eighth row calibrates."""
+    """``x``: rows of subword shares, of the sample; every eighth row calibrates."""
     random = np.random.default_rng(7)
     kinds = len(languages)
     if not kinds:
@@ -138,29 +138,35 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str]) -> Model:
 def trained(docs: DataFrame) -> Model:
     """Learns from text and language of documents that are not held out.
 
-    The sample is drawn by a hash of the id, with a share for each language that gives
-    about SAMPLE_EACH documents of it, whatever the input's size.
+    Every language is learned. Languages share SAMPLE evenly, up to SAMPLE_EACH and at least
+    one document each, those of the smallest hashes of their ids; the ids are chosen before
+    any text is read. The sample is put in the order of the hashes, so that the fit is the same
+    however the rows are dealt.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
-    if not sizes:
+    ids = known.select("doc_id", "lang").distinct()
+    kinds = ids.select("lang").distinct().count()
+    if not kinds:
         return fit(np.zeros((0, BUCKETS), dtype=np.float32), np.zeros(0, dtype=int), [])
-    each = min(SAMPLE_EACH, SAMPLE // len(sizes))
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 30)) / (1 << 30)
-    share = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, each / n))) for lang, n in sizes.items()], F.lit(0.0))
+    each = min(SAMPLE_EACH, max(1, SAMPLE // kinds))
+    drawn = F.xxhash64("doc_id", F.lit("language"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(drawn, "doc_id"))
+    chosen = ids.withColumn("place", place).where(F.col("place") <= each).drop("place")
+    # rows of one id and language, should there be several, count as the least text
+    texts = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
     def counted(batches):
         for batch in batches:
             counts = [subword_counts(t) for t in batch["text"]]
             places = [np.flatnonzero(c) for c in counts]
-            yield pd.DataFrame({"lang": batch["lang"], "at": places, "n": [c[p] for c, p in zip(counts, places)]})
+            own = batch[["drawn", "doc_id", "lang"]]
+            yield own.assign(at=places, n=[c[p] for c, p in zip(counts, places)])
 
     rows = (
-        known.where(draw < share)
-        .select("text", "lang")
-        .mapInPandas(counted, "lang string, at array<int>, n array<long>")
-        .limit(2 * SAMPLE)
+        texts.select(drawn.alias("drawn"), F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+        .mapInPandas(counted, "drawn long, doc_id long, lang string, at array<int>, n array<long>")
         .toPandas()
+        .sort_values(["drawn", "doc_id", "lang"], ignore_index=True)
     )
     languages = sorted(set(rows["lang"]))
     x = np.zeros((len(rows), BUCKETS), dtype=np.float32)
