@@ -11,12 +11,13 @@ set bits over the hashes of the paragraph's pieces of up to PIECE words. Twice a
 the number of pieces is a random projection of the multiset of pieces, so the cosine of two
 documents' projections estimates how alike they are.
 
-Lanes of the second part lie three to a long, 21 bits apart, so one addition serves three.
+Lanes of the second part lie two to a long, 32 bits apart, so one addition serves two. A text
+of two gigabytes, the most that a column holds, has fewer pieces than a lane counts.
 
 Edge cases: a null text counts as empty and has one empty paragraph without pieces; the
 likeness of two documents without pieces is 1, of one with and one without is 0; of a single
 document the next is itself; rows with equal id and text count as one place in the order and
-each gives its row; null ids come last; other columns are not read.
+each gives its row; null ids come last; very long texts count whole; other columns are not read.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -30,11 +31,11 @@ PIECE = 8
 #: Whole-paragraph lanes, of 32 bits.
 WHOLE = 8
 #: Bits between lanes that share a long, shifts per hash, and hashes per piece.
-GAP, HASHES = 21, 2
+GAP, HASHES = 32, 2
 PACKED = GAP * HASHES
-LANES = 3 * PACKED
+LANES = 2 * PACKED
 BELOW_32 = (1 << 32) - 1
-ONES = 1 | 1 << GAP | 1 << 2 * GAP
+ONES = 1 | 1 << GAP
 LANE = (1 << GAP) - 1
 SPACES = r"[\x20\x09\x0B-\x0D]+"
 
@@ -122,7 +123,7 @@ def projection(total: Column) -> Column:
     number = F.get(total, F.lit(WHOLE))
     lane = lambda v, k: (F.shiftright(v, GAP * k).bitwiseAND(F.lit(LANE)) * 2 - number).cast("double")
     return F.flatten(
-        F.transform(F.slice(total, WHOLE + 2, PACKED), lambda v: F.array(*[lane(v, k) for k in range(3)]))
+        F.transform(F.slice(total, WHOLE + 2, PACKED), lambda v: F.array(*[lane(v, k) for k in range(2)]))
     )
 
 
