@@ -5,14 +5,17 @@ Hilbert curve, rows are put in the order of their cells, and the order is cut in
 equal row counts. Rows that are close in all columns then share a shard, and a shard's box
 of cells lets a reader skip it (``manifest``, ``shards_for``).
 
-Rows within a cell are ordered by size, text hash and id, so equal texts lie next to each
-other and a cell that holds a third of all rows is still cut. The order is a range shuffle
-on keys that end in the id; places come from the partitions' row counts, so no task sees
-more than its range, and no window runs over the whole table.
+Equal texts are a group: they take the cell of the group's smallest language and source, and
+rows within a cell are ordered by size, text hashes and id. So a group lies together, where
+only a cut between shards can part it, and a cell that holds a third of all rows is still
+cut. The order is a range shuffle on keys that end in the id; places come from the
+partitions' row counts, so no task sees more than its range, and no window runs over the
+whole table.
 
 Edge cases: a null text has size 1 and the hash of the empty string; null source and lang
-have their own hash; repeated rows each get a slot of their own; an empty table gives an
-empty result; other columns are not read.
+are the empty string; repeated rows each get a slot of their own, rows that are alike in all
+keys in any order; very long texts are hashed whole; an empty table gives an empty result;
+other columns are not read.
 """
 
 from collections.abc import Sequence
@@ -28,6 +31,8 @@ BITS = 4
 SHARDS = 8
 #: The metadata that span the grid.
 AXES = ["size_cell", "lang_cell", "source_cell"]
+#: Parts that the rows of one text are dealt to where they are joined.
+SPREAD = 32
 #: Rows of a partition that monotonically_increasing_id can number.
 ROW_BITS = 33
 
@@ -116,6 +121,22 @@ def ranked(df: DataFrame, *keys: str, label: str = "ranked") -> tuple[DataFrame,
     return placed.withColumn("place", F.col("_before") + within).drop("_row", "_part", "_before"), before
 
 
+def _with_least_names(facts: DataFrame) -> DataFrame:
+    """Rows of one text take the cells of its smallest (lang, source), so that they lie together.
+
+    Only texts that several rows have are joined, each row of them in one of SPREAD parts,
+    since one text may have a third of all rows.
+    """
+    text = ["size", "text_crc32", "text_key"]
+    least = F.min(F.struct("lang", "source", "lang_cell", "source_cell")).alias("least")
+    several = facts.groupBy(*text).agg(least, F.count("*").alias("n")).where(F.col("n") > 1)
+    cells = several.select(*text, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part"), "least")
+    dealt = facts.withColumn("part", F.pmod(F.xxhash64("doc_id", "lang", "source"), F.lit(SPREAD)).cast("int"))
+    joined = dealt.join(cells, [*text, "part"], "left")
+    own = {c: F.coalesce(F.col(f"least.{c}"), F.col(c)) for c in ("lang_cell", "source_cell")}
+    return joined.withColumns(own).drop("part", "least", "lang", "source")
+
+
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Every document with its cell axes, place on the curve, shard and slot; counts differ by one at most."""
     text = text_or_empty()
@@ -123,11 +144,14 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         F.col("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text).alias("text_crc32"),
+        F.xxhash64(text).alias("text_key"),
+        F.coalesce("lang", F.lit("")).alias("lang"),
+        F.coalesce("source", F.lit("")).alias("source"),
         name_cell(F.col("source")).alias("source_cell"),
         name_cell(F.col("lang")).alias("lang_cell"),
     ).withColumn("size_cell", size_cell(F.col("size")))
-    curve = facts.join(F.broadcast(curve_table(docs.sparkSession)), AXES)
-    placed, rows = ranked(curve, "curve", "size", "text_crc32", "doc_id", label="shards")
+    curve = _with_least_names(facts).join(F.broadcast(curve_table(docs.sparkSession)), AXES)
+    placed, rows = ranked(curve, "curve", "size", "text_crc32", "text_key", "doc_id", label="shards")
     shard = F.expr(f"int(place * {shards} div {max(rows, 1)})")
     first = F.expr(f"(shard * {max(rows, 1)}L + {shards - 1}) div {shards}")
     return placed.withColumn("shard", shard).withColumn("slot", F.col("place") - first)
