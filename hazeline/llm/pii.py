@@ -13,7 +13,8 @@ lengths give code points. No row leaves the JVM; only the counts of vote pattern
 the driver, where a few hundred rows are worked on in plain Python.
 
 Edge cases: a null text counts as empty; without proposals nothing is added; repeated rows
-get equal results and count each; null doc_ids stay; other columns are not read.
+get equal results and count each; null doc_ids stay; very long texts are read whole, their
+spans in parts, so that many spans do not cost their square; other columns are not read.
 """
 
 import math
@@ -58,6 +59,8 @@ AGAINST = r"version|isbn|invoice|order no|ticket|build|rev\b|section|chapter"
 CONTEXT = 40
 LABELERS = ["rule", "gazetteer", "context", "border", "grouping"]
 ROUNDS = 50
+#: Spans of a document that are worked on together.
+PART_SIZE = 128
 #: How sure the classifier must be of a span that no base rule covers.
 SURE = 0.9
 
@@ -113,6 +116,18 @@ def _grouping(kind: str, value: Column) -> Column:
     return _vote(F.lit(False), F.lit(False))
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _parts(items: Column) -> Column:
+    """An array in parts of PART_SIZE, so that no step copies more than one part."""
+    last = F.floor((F.size(items) - 1) / PART_SIZE).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * PART_SIZE + 1, PART_SIZE))
+    return F.when(F.size(items) > 0, cut).otherwise(F.slice(F.array(items), 1, 0))
+
+
 def _cut(text: Column, pattern: str, needs: str) -> Column:
     """``{start, end, value}`` of all matches, leftmost and without overlap."""
     gaps = F.split(text, pattern, -1)
@@ -129,8 +144,17 @@ def _cut(text: Column, pattern: str, needs: str) -> Column:
         span = F.struct(start.alias("start"), end.alias("end"), one["value"].alias("value"))
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-    spans = F.aggregate(zipped, start, step, lambda acc: acc["spans"])
+    def placed(part):
+        """Spans of a part, counted from its own beginning."""
+        return F.aggregate(part, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)
+
+    def moved(parts):
+        """The parts' spans, each moved by what the parts before it take."""
+        shift = lambda i: F.aggregate(F.slice(parts, F.lit(1), i), F.lit(0), lambda a, p: a + p["at"])
+        by = lambda s, n: F.struct((s["start"] + n).alias("start"), (s["end"] + n).alias("end"), s["value"].alias("value"))
+        return F.flatten(F.transform(parts, lambda p, i: _let(shift(i), lambda n: F.transform(p["spans"], lambda s: by(s, n)))))
+
+    spans = _let(F.transform(_parts(zipped), placed), moved)
     return F.when(text.rlike(needs), spans).otherwise(none)
 
 
@@ -245,16 +269,28 @@ def found(docs: DataFrame) -> DataFrame:
     counts = vote_counts(proposals)
     weights = classifier(counts, beliefs(counts)) if counts else {}
 
-    def stays(s):
-        clear = ~F.exists("spans", lambda b: b["base"] & (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    def meets(parts, s):
+        """Whether a base span overlaps: parts that lie apart from the span are passed over."""
+        apart = lambda p: (p["low"] >= s["end"]) | (p["high"] <= s["start"])
+        over = lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+        return F.exists(parts, lambda p: ~apart(p) & F.exists(p["spans"], over))
+
+    def bounded(part):
+        low, high = F.array_min(F.transform(part, lambda b: b["start"])), F.array_max(F.transform(part, lambda b: b["end"]))
+        return F.struct(low.alias("low"), high.alias("high"), part.alias("spans"))
+
+    def stays(s, parts):
         possible = ~((s["kind"] == KINDS.index("ip")) & (s["rule"] == -1))  # no address has a part over 255
-        return s["base"] | (possible & (_probability(weights, s) >= SURE) & clear)
+        sure = possible & (_probability(weights, s) >= SURE)
+        return s["base"] | F.when(~s["base"] & sure, ~meets(parts, s)).otherwise(False)
 
-    return proposals.withColumn("spans", F.filter("spans", stays))
+    base = F.transform(_parts(F.filter("spans", lambda b: b["base"])), bounded)
+    kept = _let(base, lambda parts: F.filter(F.col("spans"), lambda s: stays(s, parts)))
+    return proposals.withColumn("spans", kept)
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """Counts, digest and list of spans of every document."""
+    """Counts, digest and list of spans of every document, and the number of all spans."""
     names = F.array(*[F.lit(k) for k in KINDS])
     written = lambda spans: F.array_join(
         F.transform(
@@ -270,4 +306,5 @@ def scanned(docs: DataFrame) -> DataFrame:
         *[number(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)],
         sha256(written(base)).alias("base_sha256"),
         written("spans").alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
     )

@@ -3,9 +3,11 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from hazeline.llm import (
@@ -207,7 +209,35 @@ def test_edited_texts(spark):
         own, take = by_id[r.doc_id], len(by_id[r.doc_id]) // 3
         edited = own[: len(own) - take] + by_id[follows[r.doc_id]][:take]
         assert (r.n_chars, r.edited_sha256) == (len(own), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+        wanted = brute_likeness(own, edited), brute_likeness(own, by_id[follows[r.doc_id]])
+        assert (r.near_edited, r.near_next) == pytest.approx(wanted)
+
+
+def brute_likeness(a, b):
+    """The cosine of two texts' projections, counted bit by bit."""
+    lines = [sorted(t.split("\n")) for t in (a, b)]
+    if lines[0] == lines[1]:
+        return 1.0
+    sides = []
+    for text in (a, b):
+        signs = []
+        for line in text.split("\n"):
+            own = [w for w in re.split(r"[\x20\x09\x0B-\x0D]+", line) if w]
+            for k in range(0, len(own), 8):
+                first = xxhash.xxh64_intdigest(" ".join(own[k : k + 8]).encode(), 42)
+                second = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), xxhash.xxh64_intdigest(first.to_bytes(8, "little"), 42))
+                signs.append([2 * ((h >> j) & 1) - 1 for h in (first, second) for j in range(64)])
+        sides.append(np.array(signs).sum(axis=0) if signs else np.zeros(128))
+    x, y = sides
+    norm = np.sqrt((x @ x) * (y @ y))
+    return min(max(x @ y / norm, 0.0), 1.0) if norm else 0.0
+
+
+def test_lanes_hold_more_pieces_than_21_bits(spark):
+    df = spark.createDataFrame([("one two\nthree four",)], "text string").select(fingerprint.vector(F.col("text")).alias("v"))
+    many = F.transform("v", lambda x, i: F.when(i < fingerprint.WHOLE, x).otherwise(x * 500_000_000))
+    row = df.select(fingerprint.projection(many).alias("many"), fingerprint.projection(F.col("v")).alias("one")).first()
+    assert row.many == [500_000_000 * x for x in row.one]
 
 
 def test_quality_learns_and_keeps_held_out_rows_apart(spark):
@@ -276,6 +306,31 @@ def test_shards(spark):
     assert wanted <= {r.shard for r in sharding.shards_for(boxes, size_cell=(3, 5)).collect()}
 
 
+def test_shards_equal_a_plain_sort(spark):
+    """Groups of equal texts in several languages, ties, null ids and names."""
+    rng = random.Random(4)
+    rows = [(rng.choice([None, i, i % 50]), rng.choice(["same", "", None, f"text {i % 70} " * (i % 30)]), rng.choice(["en", "de", None])) for i in range(300)]
+    got = sharding.sharded(documents(spark, rows)).collect()
+    curve = {(r.size_cell, r.lang_cell, r.source_cell): r.curve for r in sharding.curve_table(spark).collect()}
+    hashed = lambda t: int.from_bytes(xxhash.xxh64_digest((t or "").encode(), 42), "big", signed=True)
+    least = {}
+    for _, text, lang in rows:
+        least[text or ""] = min(least.get(text or "", "zz"), lang or "")
+
+    def key(row):
+        size = len((row[1] or "").encode()) + 1
+        cell = min(max(int(np.log2(size)) - 4, 0), 15)
+        place = curve[cell, hashed(least[row[1] or ""]) % 16, hashed("") % 16]
+        return (place, size, zlib.crc32((row[1] or "").encode()), hashed(row[1]), row[0] is not None, row[0] or 0)
+
+    ordered = sorted(rows, key=key)
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.place)] == [r[0] for r in ordered]
+    for place, r in enumerate(sorted(got, key=lambda r: r.place)):
+        shard = place * 8 // 300
+        assert (r.place, r.shard, r.slot) == (place, shard, place - -(-shard * 300 // 8))
+        assert (r.size, r.text_crc32) == key(ordered[place])[1:3]
+
+
 @pytest.mark.parametrize("axes,bits", [(2, 3), (3, 2)])
 def test_curve_visits_neighbours(spark, axes, bits):
     cells = spark.range(1 << axes * bits).select(
