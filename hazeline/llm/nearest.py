@@ -31,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -51,6 +51,8 @@ CELL, BLOCK = 2048, 4096
 WIDTH, MOST_HASHES = 2.0, 12
 #: Vectors that the widths are fitted on.
 SAMPLE = 4096
+#: Parts of a cell that its counts are joined in.
+SPREAD = 16
 SLICE, PRODUCTS = 512, 20_000
 _erf = np.frompyfunc(math.erf, 1, 1)
 
@@ -63,10 +65,18 @@ def vectors(df: DataFrame, id_column: str = "vec_id", column: str = "embedding")
     return df.where(F.coalesce(fit, F.lit(False))).select(F.col(f"`{id_column}`").cast("long").alias("vec_id"), v.alias("v"))
 
 
-def length(v: Column) -> Column:
-    """Euclidean length, without overflow on the way."""
-    most = F.array_max(F.transform(v, lambda x: F.abs(x).cast("double")))
-    return most * F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + (x / most) * (x / most)))
+def longest(rows: DataFrame) -> tuple[int, float]:
+    """How many vectors there are, and the length of the longest.
+
+    Lengths are summed in units of the largest component, so that no square overflows.
+    """
+    most = F.array_max(F.transform("v", lambda x: F.abs(x).cast("double")))
+    found = rows.agg(F.count("*").alias("n"), F.max(most).alias("most")).first()
+    if not found["n"]:
+        return 0, 1.0
+    unit = lambda x: x / F.lit(found["most"])
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + unit(x) * unit(x))
+    return found["n"], found["most"] * math.sqrt(rows.agg(F.max(square)).first()[0])
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -259,11 +269,16 @@ def _compared(visits: DataFrame, placed: DataFrame) -> DataFrame:
     parts = lambda: F.ceil(F.count("*") / BLOCK).cast("int")
     sizes = placed.groupBy(*cell).agg(parts().alias("parts_c"))
     asked = visits.groupBy(*cell).agg(parts().alias("parts_q"))
-    both = sizes.join(asked, cell)
+    # one cell may have a third of all rows, so the counts go to each of SPREAD parts of a cell
+    parts_of = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    both = sizes.join(asked, cell).withColumn("part", parts_of)
     drawn = lambda column, count: F.pmod(F.xxhash64(column), F.col(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    left = visits.join(both, cell).withColumn("part_q", drawn("query_id", "parts_q")).withColumn("part_c", every("parts_c"))
-    right = placed.join(both, cell).withColumn("part_c", drawn("ids", "parts_c")).withColumn("part_q", every("parts_q"))
+    part = lambda column: F.pmod(F.xxhash64(column, F.lit("part")), F.lit(SPREAD)).cast("int")
+    left = visits.withColumn("part", part("query_id")).join(both, [*cell, "part"])
+    left = left.withColumn("part_q", drawn("query_id", "parts_q")).withColumn("part_c", every("parts_c"))
+    right = placed.withColumn("part", part("ids")).join(both, [*cell, "part"])
+    right = right.withColumn("part_c", drawn("ids", "parts_c")).withColumn("part_q", every("parts_q"))
     block = [*cell, "part_q", "part_c"]
     return (
         left.select(*block, "query_id", "least", "v")
@@ -284,10 +299,10 @@ def nearest(df: DataFrame, id_column: str = "vec_id", column: str = "embedding")
     """``query_id, rank, vec_id, score``: the TOP nearest of every query, nearest first."""
     rows = vectors(df, id_column, column)
     classes = write_and_reread(_classes(rows), "classes")
-    total = classes.agg(F.count("*").alias("n"), F.max(length(F.col("v"))).alias("longest")).first()
-    cells = total["n"] / CELL
+    total, most = longest(classes)
+    cells = total / CELL
     hashes = min(MOST_HASHES, math.ceil(math.log2(cells) / 1.2)) if cells > 1 else 0
-    family = Family(hashes, total["longest"] or 1.0, {})
+    family = Family(hashes, most, {})
     sample = classes.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE if hashes else 0).collect()
     family = Family(hashes, family.longest, _fitted([np.array(r["v"], dtype=float) for r in sample], family) if hashes else {})
 
@@ -307,7 +322,7 @@ def nearest(df: DataFrame, id_column: str = "vec_id", column: str = "embedding")
     enough = _merged(found).groupBy("query_id").count().where(F.col("count") == TOP)
     short = write_and_reread(queries.join(enough, "query_id", "left_anti"), "short")
     if not short.isEmpty():
-        blocks = -(-total["n"] // BLOCK)
+        blocks = -(-total // BLOCK)
         dealt = placed.where("slot = 0").withColumns({"slot": F.lit(-1), "cell": F.pmod(F.xxhash64("ids", "v"), F.lit(blocks))})
         every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
         visits = short.select(F.lit(-1).alias("slot"), every.alias("cell"), "query_id", "least", "v")
