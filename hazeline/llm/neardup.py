@@ -60,7 +60,7 @@ WIDTH = 5
 #: Nodes of one side of a block, on average, and columns of an indicator matrix at most.
 BLOCK, COLUMNS = 512, 8192
 #: Pairs of a stray and a component that the first wave compares, and how many times more each next one.
-WAVE, WIDER = 1, 16
+WAVE, WIDER = 64, 16
 REMEMBERED = 150_000
 
 
