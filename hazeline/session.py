@@ -2,6 +2,7 @@
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,8 +38,41 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Lists of the scratch paths handed out inside each open scope.
+_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/hazeline/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/hazeline/{label}-{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables made inside go at the end of the scope; write what is to stay before it ends.
+
+    Only paths that the scope itself handed out are removed, also when it ends by an error.
+    """
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def write_in_scope(spark: SparkSession, make, label: str) -> DataFrame:
+    """The DataFrame that ``make()`` returns, written and read again; the tables it needed are gone."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_and_reread(df: DataFrame, label: str) -> DataFrame:

@@ -45,3 +45,21 @@ def test_gaps_and_edges_over_many_slices(spark):
     edges = {r.event_id: r.x for r in fill_edges(series.number_rows(df, Layout(ties=("event_id",))), ["x"]).collect()}
     assert edges == {h: 1.0 if h < 200 else 3.0 for h in range(-100, 300)}
     assert interpolate_time(df.where("false"), ["x"]).count() == 0
+
+
+def test_scratch_tables_go_with_their_scope(spark, tmp_path):
+    from pathlib import Path
+
+    from hazeline.session import scratch_path, write_and_reread, write_in_scope
+
+    folder = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+    made = []
+
+    def make():
+        made.append(write_and_reread(spark.range(10), "inner-of-scope"))
+        return made[0].where("id > 4")
+
+    kept = write_in_scope(spark, make, "outer-of-scope")
+    assert kept.count() == 5 and not list(folder.glob("inner-of-scope-*")) and len(list(folder.glob("outer-of-scope-*"))) == 1
+    stays = write_and_reread(spark.range(3), "after-the-scope")
+    assert stays.count() == 3
