@@ -8,13 +8,14 @@ as the operators' docstrings say.
 """
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from hazeline.llm import bpe, decontaminate, neardup, quality, secret_scan
 from hazeline.llm.common import table
 from hazeline.llm.queries import tokenizer_path
-from hazeline.session import write_and_reread
+from hazeline.session import write_in_scope
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written before the next begins."""
+    """All stages over ``documents``, each written before the next begins, when the tables it needed go."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = write_and_reread(stage(spark, docs, sf_dir), name)
+        docs = write_in_scope(spark, partial(stage, spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
