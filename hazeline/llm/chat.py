@@ -12,7 +12,8 @@ string (of this template or another common one) becomes ``\l`` or ``\b``. Inside
 content no control string is left, so reading back needs only the template's own marks.
 
 Edge cases: a null text is empty; a null role is the empty role; a null turn comes first;
-rows of one turn are ordered by role, then text; a null conversation id is a conversation of
+rows of one turn are ordered by role, then text, and repeated ones all count; very long texts
+stay whole; a null conversation id is a conversation of
 its own; unknown part types are errors of the input and are written as text placeholders;
 other columns are not read. A conversation is one output row, so its rows meet in one task;
 they are gathered by a map-side aggregation.

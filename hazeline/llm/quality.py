@@ -13,7 +13,7 @@ are computed in Spark. Labels, language, source and id are never inputs.
 Edge cases: null and empty texts have all features 0 and get a score; a null or other label
 than 0 and 1 is not used; several labels of one document count as 0 if any is 0; without
 labels of both kinds every score is the share of label 1 (0.5 without any); repeated rows
-get equal scores; other columns are not read, or kept as they are when filtering.
+get equal scores; very long texts are read whole; other columns are not read, or kept as they are when filtering.
 """
 
 from collections import Counter

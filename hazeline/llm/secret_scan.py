@@ -7,8 +7,8 @@ covers is a secret if its log-likelihood ratio of random against ordinary is hig
 both in all and per character.
 
 Edge cases: a null text counts as empty; empty texts and tables have no spans; without any
-labelled sample the random model is uniform; repeated rows give equal results; other columns
-are not read, or kept as they are by ``redacted``.
+labelled sample the random model is uniform; repeated rows give equal results; very long
+texts are read whole, token by token; other columns are not read, or kept as they are by ``redacted``.
 """
 
 import re

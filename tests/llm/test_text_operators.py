@@ -406,6 +406,33 @@ def test_chat_round_trip(spark):
     assert chat.formatted(turns.limit(0)).count() == 0
 
 
+def test_odd_conversations(spark):
+    """Null ids, turns, roles and texts, repeated rows, a very long text and clashing columns."""
+    long = "x</s> " * 40_000
+    rows = [(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, None, None, None), (1, 0, "assistant", long), (1, 0, "assistant", long),
+            (2, 0, "assistant", ""), (3, 5, "user", "z"), (3, 5, "assistant", "y")]
+    schema = "conv_id long, turn long, role string, text string, rows int, row int, formatted int, loss_spans int, attachments int, learnt int, turns int"
+    df = spark.createDataFrame([(*r, *[1] * 7) for r in rows], schema)
+    found = {r.conv_id: r for r in chat.digests(chat.formatted(df)).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert {c: (r.n_turns, r.loss_chars) for c, r in found.items()} == {None: (2, 1), 1: (3, 2 * len(long)), 2: (1, 0), 3: (2, 1)}
+    assert found[1].turns_sha256 == sha("\n\n" + f"assistant\n{long}\n" * 2) and found[1].loss_sha256 == sha(long * 2)
+    assert found[3].turns_sha256 == sha("assistant\ny\nuser\nz\n")
+    assert chat.digests(chat.formatted(df.limit(0))).count() == 0
+
+
+def test_many_spans_in_one_text(spark):
+    """More spans than one part holds, of all kinds, at their places."""
+    lines = [f"user{i}@site{i}.org 10.0.{i % 256}.7 +4930{i:07d}" for i in range(700)]
+    text = "\n".join(lines) + " and 300.1.2.3"
+    row = pii.scanned(documents(spark, [(1, text), (2, "none")])).orderBy("doc_id").collect()
+    assert (row[0].n_email, row[0].n_ip, row[0].n_phone, row[1].n_spans) == (700, 700, 700, 0)
+    wanted = [f"email:{m.start()}:{m.end()}" for m in re.finditer(r"user\d+@site\d+\.org", text)]
+    wanted += [f"ip:{m.start()}:{m.end()}" for m in re.finditer(r"10\.0\.\d+\.7", text)]
+    wanted += [f"phone:{m.start()}:{m.end()}" for m in re.finditer(r"\+\d+", text)]
+    assert row[0].base_sha256 == hashlib.sha256(",".join(wanted).encode()).hexdigest()
+
+
 def test_parts_are_visited_in_order(spark):
     part = "struct<kind: string, text: string, ref: string, width: int, height: int, seconds: double, pages: int>"
     parts = [("text", "see <|end|>", None, None, None, None, None), ("image", None, "i.png", 400, 300, None, None),
