@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hazeline.llm.common import held_out, id_text
+from hazeline.session import write_and_reread
 
 BUCKET_BITS = 12
 BUCKETS = 1 << BUCKET_BITS
@@ -145,13 +146,17 @@ def trained(docs: DataFrame) -> Model:
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "text", "lang")
     ids = known.select("doc_id", "lang").distinct()
-    kinds = ids.select("lang").distinct().count()
+    sizes = write_and_reread(ids.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    kinds = sizes.count()
     if not kinds:
         return fit(np.zeros((0, BUCKETS), dtype=np.float32), np.zeros(0, dtype=int), [])
     each = min(SAMPLE_EACH, max(1, SAMPLE // kinds))
     drawn = F.xxhash64("doc_id", F.lit("language"))
+    # so many of the smallest hashes that the wanted ones are among them but for a chance of e ** -50
+    share = (4 * each + 50) / F.col("n")
+    few = ids.join(F.broadcast(sizes), "lang").where(drawn < (share * 2 - 1) * 2.0**63)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(drawn, "doc_id"))
-    chosen = ids.withColumn("place", place).where(F.col("place") <= each).drop("place")
+    chosen = few.withColumn("place", place).where(F.col("place") <= each).select("doc_id", "lang")
     # rows of one id and language, should there be several, count as the least text
     texts = known.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 

@@ -456,3 +456,15 @@ def test_secrets(spark):
     assert rows[102].spans == "assign:13:28,access:29:49"
     clean = {r.doc_id: r for r in secret_scan.redacted(documents(spark, texts)).collect()}
     assert hexes[3] not in clean[3].text and clean[101].text == plain and clean[101].n_chars == len(plain)
+
+
+def test_every_language_is_learned_however_rare(spark):
+    """More languages than a cap would leave, one with nearly all rows, in any dealing of the rows."""
+    rng = random.Random(3)
+    rows = [(i, " ".join(words(rng, 8, ["the", "and", "for"])), "en") for i in range(3000)]
+    rows += [(10_000 + i, " ".join(words(rng, 20, [f"{chr(97 + k)}q{chr(100 + k)}", f"z{chr(97 + k)}x"])), f"l{k}") for k in range(12) for i in range(k * 50, k * 50 + 30)]
+    df = documents(spark, rows)
+    one, other = language.trained(df), language.trained(df.repartition(7, "n_chars", "text"))
+    assert one.languages == ["en", *sorted(f"l{k}" for k in range(12))] == other.languages
+    assert np.array_equal(one.lookup, other.lookup) and one.least == other.least
+    assert one.predict("aqd zax aqd zax")[0] == "l0"
