@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Rows whose remainder is 0 are held out of every fit.
 FOLDS = 5
+#: Keys whose facts are sent to every executor, at most.
+HOT_KEYS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,3 +68,35 @@ def apart(df: DataFrame, *names: str) -> list[str]:
             name = f"_{name}"
         out.append(name)
     return out
+
+
+def attached(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, total: int, how: str = "inner", most_hot: int = HOT_KEYS) -> DataFrame:
+    """``rows`` joined with the one row of ``facts`` for their keys, in even tasks however often a key occurs.
+
+    ``size`` is a column of ``facts``, left out of the result, that counts a key's rows; ``total`` is no less than the
+    number of all rows. Less than ``most_hot`` keys can have more than a ``most_hot``-th of all rows. Their facts are
+    sent to every executor and their rows stay where they are; only the other rows are shuffled.
+    """
+    limit = -(-total // most_hot)
+    hot, cold = facts.where(F.col(size) > limit), facts.where(F.col(size) <= limit).drop(size)
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    known = marked.where(F.col(size).isNotNull()).drop(size)
+    others = marked.where(F.col(size).isNull()).select(*rows.columns)
+    return known.unionByName(others.join(cold, keys, how))
+
+
+def in_parts(rows: DataFrame, table: DataFrame, keys: list[str], spread: str, counted: DataFrame) -> DataFrame:
+    """``rows`` joined with ``table`` on keys, frequent ones in parts drawn by a hash of the column ``spread``.
+
+    Unlike ``attached`` nothing large is sent around: a frequent key's row of ``table`` is copied to its parts.
+    ``counted`` is a written table with the keys of all rows.
+    """
+    limit = max(1, -(-counted.count() // HOT_KEYS))
+    parts = F.ceil(F.col("_size") / limit).cast("int").alias("_parts")
+    often = counted.groupBy(*keys).agg(F.count("*").alias("_size")).where(F.col("_size") > limit).select(*keys, parts)
+    left = rows.join(F.broadcast(often), keys, "left")
+    left = left.withColumn("_part", F.coalesce(F.pmod(F.xxhash64(spread), "_parts"), F.lit(0))).drop("_parts")
+    right = table.join(F.broadcast(often), keys, "left")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1))
+    right = right.withColumn("_part", every).drop("_parts")
+    return left.join(right, [*keys, "_part"]).drop("_part")

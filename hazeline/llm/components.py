@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.llm.common import attached
 from hazeline.session import write_and_reread
 
 
@@ -19,6 +20,7 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Ranks are hashes, so that of a chain, in whatever order its nodes are numbered, less
     than two thirds stay a round, and a hub's neighbours are gone in two: rounds are few
     however long the chains. A hub needs only a minimum, never its list of neighbours.
+    The rows of hubs and of large components are joined where they are (``attached``).
     Rounds are kept as tables, so a lost executor costs one round at most; they end when no
     link is left.
     """
@@ -28,24 +30,27 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     labels = None
     while not edges.isEmpty():
         lowest = F.least(F.first(_rank("u")), F.min(_rank("v")))["node"]
-        moved = write_and_reread(edges.groupBy("u").agg(lowest.alias("to")).withColumnRenamed("u", "from"), "moved")
+        moved = write_and_reread(edges.groupBy("u").agg(lowest.alias("to"), F.count("*").alias("size")), "moved")
+        total = edges.count()
         if labels is None:
-            labels = moved.select(F.col("from").alias("node"), F.col("to").alias("component"))
+            labels = moved.select(F.col("u").alias("node"), F.col("to").alias("component"))
         else:
-            stepped = labels.join(moved, labels["component"] == moved["from"], "left")
+            sizes = labels.groupBy("component").agg(F.count("*").alias("size"))
+            steps = sizes.join(moved.select(F.col("u").alias("component"), "to"), "component")
+            stepped = attached(labels, steps, ["component"], "size", labels.count(), "left")
             labels = write_and_reread(
                 stepped.select("node", F.coalesce("to", "component").alias("component")), "labels"
             )
+        rows = edges.where(F.col("u") < F.col("v"))
+        for end in ("u", "v"):
+            rows = attached(rows, moved.withColumnsRenamed({"u": end, "to": f"to_{end}"}), [end], "size", total)
         carried = (
-            edges.where(F.col("u") < F.col("v"))
-            .join(moved.withColumnsRenamed({"from": "u", "to": "to_u"}), "u")
-            .join(moved.withColumnsRenamed({"from": "v", "to": "to_v"}), "v")
-            .where(F.col("to_u") != F.col("to_v"))
+            rows.where(F.col("to_u") != F.col("to_v"))
             .select(F.least("to_u", "to_v").alias("u"), F.greatest("to_u", "to_v").alias("v"))
             .distinct()
         )
         edges = write_and_reread(carried.union(carried.select("v", "u")), "edges")
     if labels is None:
         return ends.select(F.col("u").alias("node"), F.col("u").alias("component")).where(F.lit(False))
-    least = labels.groupBy("component").agg(F.min("node").alias("least"))
-    return labels.join(least, "component").select("node", F.col("least").alias("component"))
+    least = labels.groupBy("component").agg(F.min("node").alias("least"), F.count("*").alias("size"))
+    return attached(labels, least, ["component"], "size", labels.count()).select("node", F.col("least").alias("component"))

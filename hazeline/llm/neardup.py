@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazeline.llm.common import keyed, row_keys
+from hazeline.llm.common import attached, in_parts, keyed, row_keys
 from hazeline.llm.components import connected
 from hazeline.session import write_and_reread
 
@@ -61,6 +61,8 @@ WIDTH = 5
 BLOCK, COLUMNS = 512, 8192
 #: Pairs of a stray and a component that the first wave compares, and how many times more each next one.
 WAVE, WIDER = 64, 16
+#: Centres whose sketches are sent to every executor, at most: 4 MB of the largest ones.
+HOT_CENTRES = 1000
 REMEMBERED = 150_000
 
 
@@ -116,8 +118,9 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
 def _nodes(sketches: DataFrame) -> DataFrame:
     """One node for each distinct set, with the place of one of its texts and its smallest id."""
     one = F.min(F.struct("id_key", "version", F.col("n_shingles").alias("n"), "sketch")).alias("one")
-    sets = sketches.where(F.col("n_shingles") > 0).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), one)
-    return sets.select(F.monotonically_increasing_id().alias("node"), "set_key", "doc_id", "one.*")
+    copies = F.count("*").alias("copies")
+    sets = sketches.where(F.col("n_shingles") > 0).groupBy("set_key").agg(F.min("doc_id").alias("doc_id"), copies, one)
+    return sets.select(F.monotonically_increasing_id().alias("node"), "set_key", "doc_id", "copies", "one.*")
 
 
 def least_shared(n: Column, level: int = 0) -> Column:
@@ -131,7 +134,8 @@ def _lists(nodes: DataFrame, level: int = 0) -> DataFrame:
     """``value, node, n, common``: the lists' entries; ``common`` sums how often the node's values occur."""
     entries = nodes.select("node", "n", F.size("sketch").alias("kept"), F.explode("sketch").alias("value"))
     often = entries.groupBy("value").agg(F.count("*").alias("often")).where(F.col("often") > 1)
-    shared = entries.join(often, "value")
+    often = often.withColumn("size", F.col("often"))
+    shared = attached(entries, often, ["value"], "size", nodes.count() * LEVELS[level][0])
     own = Window.partitionBy("node")  # at most a sketch's rows
     ranked = shared.select(
         "*",
@@ -152,22 +156,28 @@ def _around(lists: DataFrame) -> DataFrame:
     """``centre, centre_n, node, n``: the nodes around each centre, the centre itself among them."""
     centre = F.max(F.struct("common", (-F.col("node")).alias("order"), "node", "n")).alias("c")
     centres = lists.groupBy("value").agg(centre, F.count("*").alias("size")).where(F.col("size") > 1)
-    named = centres.select("value", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"))
-    return lists.join(named, "value").select("centre", "centre_n", "node", "n").distinct()
+    named = centres.select("value", F.col("c.node").alias("centre"), F.col("c.n").alias("centre_n"), "size")
+    rows = attached(lists.select("value", "node", "n"), named, ["value"], "size", lists.count())
+    return rows.select("centre", "centre_n", "node", "n").distinct()
 
 
 def _placed(around: DataFrame, components: DataFrame) -> DataFrame:
     """The nodes around each centre with their components, and whether that is another than the centre's."""
     found = components.withColumnRenamed("component", "found")
     own = around.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).drop("found")
-    home = found.withColumnsRenamed({"node": "centre", "found": "home"})
-    return own.join(home, "centre", "left").withColumn("stray", F.col("component") != F.coalesce("home", "centre"))
+    sizes = around.groupBy("centre").agg(F.count("*").alias("size"))
+    home = sizes.join(found.withColumnRenamed("node", "centre"), "centre", "left")
+    home = home.select("centre", "size", F.coalesce("found", "centre").alias("home"))
+    rows = attached(own, home, ["centre"], "size", around.count())
+    return rows.withColumn("stray", F.col("component") != F.col("home")).drop("home")
 
 
 def _near_strays(around: DataFrame, components: DataFrame) -> DataFrame:
     """``node``: all nodes around centres that have strays."""
     own = _placed(around, components)
-    return own.join(own.where("stray").select("centre").distinct(), "centre", "left_semi").select("node").distinct()
+    sizes = own.groupBy("centre").agg(F.count("*").alias("size"), F.count_if("stray").alias("strays"))
+    near = attached(around.select("centre", "node"), sizes.where("strays > 0"), ["centre"], "size", around.count())
+    return near.select("node").distinct()
 
 
 def _strays(around: DataFrame, components: DataFrame) -> DataFrame:
@@ -179,32 +189,28 @@ def _strays(around: DataFrame, components: DataFrame) -> DataFrame:
     own = _placed(around, components)
     # sets that are similar enough are in one class or in neighbouring ones
     own = own.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int"))
+    own = write_and_reread(own.select("centre", "class", "node", "component", "stray"), "placed")
     parts = lambda count: F.ceil(count / BLOCK).cast("int")
-    counts = (
-        own.groupBy("centre", "class")
-        .agg(parts(F.count("*")).alias("parts_b"), parts(F.count_if("stray")).alias("parts_a"))
-        .withColumnRenamed("class", "other")
+    counts = own.groupBy("centre", "class").agg(
+        F.count("*").alias("size"), parts(F.count("*")).alias("own_b"), parts(F.count_if("stray")).alias("own_a")
     )
-    with_strays = counts.where(F.col("parts_a") > 0)
-    part = lambda parts: F.pmod(F.xxhash64("node"), parts).cast("int")
-    near = F.abs(F.col("class") - F.col("other")) <= 1
-    sizes = counts.withColumnsRenamed({"other": "class", "parts_a": "own_a", "parts_b": "own_b"})
-    own = own.join(with_strays.select("centre").distinct(), "centre", "left_semi").join(sizes, ["centre", "class"])
-    block = ["centre", "class_a", "part_a", "class_b", "part_b", "side", "node", "component"]
-    side_a = (
-        own.where("stray")
-        .join(counts.select("centre", "other", "parts_b"), "centre")
-        .where(near)
-        .withColumn("part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)))
-        .withColumns({"class_a": F.col("class"), "part_a": part(F.col("own_a")), "class_b": F.col("other"), "side": F.lit("a")})
-    )
-    side_b = (
-        own.join(with_strays.select("centre", "other", "parts_a"), "centre")
-        .where(near)
-        .withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1)))
-        .withColumns({"class_b": F.col("class"), "part_b": part(F.col("own_b")), "class_a": F.col("other"), "side": F.lit("b")})
-    )
-    return side_a.select(*block).unionByName(side_b.select(*block))
+    others = counts.select("centre", F.struct(F.col("class").alias("class"), F.col("own_a").alias("a"), F.col("own_b").alias("b")).alias("near"))
+    # a centre has some dozens of classes, each with at most three near ones
+    near = counts.join(others, "centre").where(F.abs(F.col("class") - F.col("near.class")) <= 1)
+    near = near.groupBy("centre", "class", "size", "own_a", "own_b").agg(F.collect_list("near").alias("near"))
+    near = near.where(F.exists("near", lambda other: other["a"] > 0) | (F.col("own_a") > 0))
+    dealt = attached(own, near, ["centre", "class"], "size", own.count()).withColumn("near", F.explode("near"))
+    part = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    side_a = dealt.where("stray").select(
+        "centre", F.col("class").alias("class_a"), part("own_a").alias("part_a"), F.col("near.class").alias("class_b"),
+        every("near.b").alias("part_b"), F.lit("a").alias("side"), "node", "component",
+    )
+    side_b = dealt.where("near.a > 0").select(
+        "centre", F.col("near.class").alias("class_a"), every("near.a").alias("part_a"), F.col("class").alias("class_b"),
+        part("own_b").alias("part_b"), F.lit("b").alias("side"), "node", "component",
+    )
+    return side_a.unionByName(side_b)
 
 
 def common_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -285,8 +291,10 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, level: int = 0, places=()) ->
     """The pairs that the sketch of their union does not rule out, with ``places`` of their nodes."""
     size, least = LEVELS[level]
     facts = ["n", "sketch", *places]
-    for end in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end), *[F.col(f).alias(f"{f}_{end}") for f in facts]), end)
+    of = lambda end: nodes.select(F.col("node").alias(end), *[F.col(f).alias(f"{f}_{end}") for f in facts])
+    pairs = write_and_reread(pairs, "pairs")
+    centres = pairs.groupBy("b").agg(F.count("*").alias("size")).join(of("b"), "b")
+    pairs = attached(pairs.join(of("a"), "a"), centres, ["b"], "size", pairs.count(), most_hot=HOT_CENTRES)
     both, either = F.array_intersect("sketch_a", "sketch_b"), F.array_union("sketch_a", "sketch_b")
     seen = F.size(F.array_intersect(both, F.slice(F.array_sort(either), 1, size)))
     whole = (F.col("n_a") <= size) & (F.col("n_b") <= size)
@@ -300,9 +308,13 @@ def _verified(pairs: DataFrame, texts: DataFrame, keys, width: int) -> DataFrame
     ``texts`` has a text for each value of the ``keys``, which the pairs have as ``<key>_a`` and ``<key>_b``.
     """
     keys = list(keys)
-    for end in ("a", "b"):
-        pairs = pairs.withColumnsRenamed({f"{k}_{end}": k for k in keys})
-        pairs = pairs.join(texts, keys).withColumnRenamed("text", f"text_{end}").drop(*keys)
+    pairs = write_and_reread(pairs, "plausible")
+    named = pairs.withColumnsRenamed({f"{k}_a": k for k in keys})
+    with_a = named.join(texts, keys).withColumnRenamed("text", "text_a").drop(*keys)
+    # many pairs may have one centre, whose text then goes to several tasks
+    ends = {f"{k}_b": k for k in keys}
+    counted = pairs.select(*ends).withColumnsRenamed(ends)
+    pairs = in_parts(with_a.withColumnsRenamed(ends), texts, keys, "a", counted).withColumnRenamed("text", "text_b").drop(*keys)
 
     def run(batches):
         last, kept = None, None
@@ -366,7 +378,7 @@ def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, component
         own = texts.join(near, "node", "left_semi")
         nodes = write_and_reread(_sketches_of(own, width, LEVELS[level][0]), "nodes")
         around = write_and_reread(_around(write_and_reread(_lists(nodes, level), "lists")), "around")
-        pairs = _plausible(_apart(_stars(around), components), nodes, level)
+        pairs = _plausible(_stars(_placed(around, components).where("stray")), nodes, level)
         more = write_and_reread(_verified(_on_places(pairs), texts, ["node"], width), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
@@ -380,8 +392,10 @@ def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, component
         strays = _strays(around, components)
         found = write_and_reread(_in_blocks(strays, nodes, most, level), "candidates")
         more = _verified(_on_places(found.select("a", "b").distinct()), texts, ["node"], width)
-        links = links.unionByName(write_and_reread(more, "strays"))
-        components = connected(links)
+        more = write_and_reread(more, "strays")
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            components = connected(links)
         left = _apart(found.where("cut").select("a", "b").distinct(), components)
         if left.isEmpty():
             return links, components
@@ -390,9 +404,10 @@ def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, component
 
 def _labelled(sketches: DataFrame, nodes: DataFrame, components: DataFrame) -> DataFrame:
     named = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_set = named.join(smallest, "component").select("set_key", "component", "component_id")
-    rows = sketches.join(by_set, "set_key", "left")
+    named = named.select("set_key", "doc_id", "copies", "component")
+    smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
+    by_set = attached(named.drop("doc_id"), smallest, ["component"], "size", nodes.count())
+    rows = attached(sketches.drop("sketch"), by_set, ["set_key"], "copies", sketches.count(), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.withColumn("component_id", component).select(
         "doc_id",
