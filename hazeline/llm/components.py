@@ -53,4 +53,5 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     if labels is None:
         return ends.select(F.col("u").alias("node"), F.col("u").alias("component")).where(F.lit(False))
     least = labels.groupBy("component").agg(F.min("node").alias("least"), F.count("*").alias("size"))
-    return attached(labels, least, ["component"], "size", labels.count()).select("node", F.col("least").alias("component"))
+    named = attached(labels, least, ["component"], "size", labels.count())
+    return write_and_reread(named.select("node", F.col("least").alias("component")), "components")

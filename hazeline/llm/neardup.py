@@ -162,34 +162,32 @@ def _around(lists: DataFrame) -> DataFrame:
 
 
 def _placed(around: DataFrame, components: DataFrame) -> DataFrame:
-    """The nodes around each centre with their components, and whether that is another than the centre's."""
+    """The nodes around each centre with their components, and whether that is another than the centre's, as a table."""
     found = components.withColumnRenamed("component", "found")
     own = around.join(found, "node", "left").withColumn("component", F.coalesce("found", "node")).drop("found")
     sizes = around.groupBy("centre").agg(F.count("*").alias("size"))
     home = sizes.join(found.withColumnRenamed("node", "centre"), "centre", "left")
     home = home.select("centre", "size", F.coalesce("found", "centre").alias("home"))
     rows = attached(own, home, ["centre"], "size", around.count())
-    return rows.withColumn("stray", F.col("component") != F.col("home")).drop("home")
+    return write_and_reread(rows.withColumn("stray", F.col("component") != F.col("home")).drop("home"), "placed")
 
 
-def _near_strays(around: DataFrame, components: DataFrame) -> DataFrame:
+def _near_strays(placed: DataFrame) -> DataFrame:
     """``node``: all nodes around centres that have strays."""
-    own = _placed(around, components)
-    sizes = own.groupBy("centre").agg(F.count("*").alias("size"), F.count_if("stray").alias("strays"))
-    near = attached(around.select("centre", "node"), sizes.where("strays > 0"), ["centre"], "size", around.count())
+    sizes = placed.groupBy("centre").agg(F.count("*").alias("size"), F.count_if("stray").alias("strays"))
+    near = attached(placed.select("centre", "node"), sizes.where("strays > 0"), ["centre"], "size", placed.count())
     return near.select("node").distinct()
 
 
-def _strays(around: DataFrame, components: DataFrame) -> DataFrame:
+def _strays(placed: DataFrame) -> DataFrame:
     """Strays and the nodes around their centres, dealt to pairs of blocks.
 
     A block is a part of the nodes of one centre and one class of sizes, drawn by a hash;
     the parts' numbers follow from counts. ``side`` a has the strays, side b all nodes.
     """
-    own = _placed(around, components)
     # sets that are similar enough are in one class or in neighbouring ones
-    own = own.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int"))
-    own = write_and_reread(own.select("centre", "class", "node", "component", "stray"), "placed")
+    own = placed.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / SIMILAR))).cast("int"))
+    own = own.select("centre", "class", "node", "component", "stray")
     parts = lambda count: F.ceil(count / BLOCK).cast("int")
     counts = own.groupBy("centre", "class").agg(
         F.count("*").alias("size"), parts(F.count("*")).alias("own_b"), parts(F.count_if("stray")).alias("own_a")
@@ -199,7 +197,7 @@ def _strays(around: DataFrame, components: DataFrame) -> DataFrame:
     near = counts.join(others, "centre").where(F.abs(F.col("class") - F.col("near.class")) <= 1)
     near = near.groupBy("centre", "class", "size", "own_a", "own_b").agg(F.collect_list("near").alias("near"))
     near = near.where(F.exists("near", lambda other: other["a"] > 0) | (F.col("own_a") > 0))
-    dealt = attached(own, near, ["centre", "class"], "size", own.count()).withColumn("near", F.explode("near"))
+    dealt = attached(own, near, ["centre", "class"], "size", placed.count()).withColumn("near", F.explode("near"))
     part = lambda count: F.pmod(F.xxhash64("node"), count).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
     side_a = dealt.where("stray").select(
@@ -294,7 +292,7 @@ def _plausible(pairs: DataFrame, nodes: DataFrame, level: int = 0, places=()) ->
     of = lambda end: nodes.select(F.col("node").alias(end), *[F.col(f).alias(f"{f}_{end}") for f in facts])
     pairs = write_and_reread(pairs, "pairs")
     centres = pairs.groupBy("b").agg(F.count("*").alias("size")).join(of("b"), "b")
-    pairs = attached(pairs.join(of("a"), "a"), centres, ["b"], "size", pairs.count(), most_hot=HOT_CENTRES)
+    pairs = attached(pairs, centres, ["b"], "size", pairs.count(), most_hot=HOT_CENTRES).join(of("a"), "a")
     both, either = F.array_intersect("sketch_a", "sketch_b"), F.array_union("sketch_a", "sketch_b")
     seen = F.size(F.array_intersect(both, F.slice(F.array_sort(either), 1, size)))
     whole = (F.col("n_a") <= size) & (F.col("n_b") <= size)
@@ -364,7 +362,7 @@ def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     links = write_and_reread(_verified(pairs, all_texts, place, width), "links")
     components = connected(links)
 
-    near = write_and_reread(_near_strays(around, components), "near")
+    near = write_and_reread(_near_strays(_placed(around, components)), "near")
     if not near.isEmpty():
         wanted = nodes.join(near, "node").select("node", *place)
         texts = write_and_reread(wanted.join(all_texts, place).select("node", "text").dropDuplicates(["node"]), "texts")
@@ -378,24 +376,26 @@ def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, component
         own = texts.join(near, "node", "left_semi")
         nodes = write_and_reread(_sketches_of(own, width, LEVELS[level][0]), "nodes")
         around = write_and_reread(_around(write_and_reread(_lists(nodes, level), "lists")), "around")
-        pairs = _plausible(_stars(_placed(around, components).where("stray")), nodes, level)
+        placed = _placed(around, components)
+        pairs = _plausible(_stars(placed.where("stray")), nodes, level)
         more = write_and_reread(_verified(_on_places(pairs), texts, ["node"], width), "links")
         if not more.isEmpty():
             links = links.unionByName(more)
             components = connected(links)
-        near = write_and_reread(_near_strays(around, components), "near")
+            placed = _placed(around, components)
+        near = write_and_reread(_near_strays(placed), "near")
         if near.isEmpty():
             return links, components
 
     most, level = WAVE, len(LEVELS) - 1
     while True:
-        strays = _strays(around, components)
-        found = write_and_reread(_in_blocks(strays, nodes, most, level), "candidates")
+        found = write_and_reread(_in_blocks(_strays(placed), nodes, most, level), "candidates")
         more = _verified(_on_places(found.select("a", "b").distinct()), texts, ["node"], width)
         more = write_and_reread(more, "strays")
         if not more.isEmpty():
             links = links.unionByName(more)
             components = connected(links)
+            placed = _placed(around, components)
         left = _apart(found.where("cut").select("a", "b").distinct(), components)
         if left.isEmpty():
             return links, components
@@ -406,7 +406,7 @@ def _labelled(sketches: DataFrame, nodes: DataFrame, components: DataFrame) -> D
     named = nodes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = named.select("set_key", "doc_id", "copies", "component")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("size"))
-    by_set = attached(named.drop("doc_id"), smallest, ["component"], "size", nodes.count())
+    by_set = write_and_reread(attached(named.drop("doc_id"), smallest, ["component"], "size", nodes.count()), "sets")
     rows = attached(sketches.drop("sketch"), by_set, ["set_key"], "copies", sketches.count(), "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.withColumn("component_id", component).select(
