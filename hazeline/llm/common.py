@@ -75,8 +75,11 @@ def attached(rows: DataFrame, facts: DataFrame, keys: list[str], size: str, tota
 
     ``size`` is a column of ``facts``, left out of the result, that counts a key's rows; ``total`` is no less than the
     number of all rows. Less than ``most_hot`` keys can have more than a ``most_hot``-th of all rows. Their facts are
-    sent to every executor and their rows stay where they are; only the other rows are shuffled.
+    sent to every executor and their rows stay where they are; only the other rows are shuffled. No more than ``HOT_KEYS``
+    rows are no burden for one task; they are joined as they are, which keeps the plans of many rounds small.
     """
+    if total <= HOT_KEYS:
+        return rows.join(facts.drop(size), keys, how)
     limit = -(-total // most_hot)
     hot, cold = facts.where(F.col(size) > limit), facts.where(F.col(size) <= limit).drop(size)
     marked = rows.join(F.broadcast(hot), keys, "left")

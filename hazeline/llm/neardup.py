@@ -24,7 +24,8 @@ its sketch. Documents with equal sets are one node from the start. Then:
    bounded size, sets of too different sizes apart: a block compares the sketches of its
    two sides at once, as a product of indicator matrices, and only the texts of what they do
    not rule out are fetched. A stray needs one link to each other component, so these pairs are compared in
-   waves, each a larger share of what is left; pairs that the links of a wave have joined are not compared.
+   waves, each a larger share of what is left; pairs that the links of a wave have joined are not compared, and later
+   waves hold only strays of which pairs are left.
    Nodes within the centre's component are never paired with each other.
 
 LEVELS has the size of each level's sketches and how many values two sets of exactly the
@@ -38,6 +39,7 @@ read whole; other columns are not read, or kept as they are by ``deduplicated``.
 """
 
 import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -47,7 +49,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hazeline.llm.common import attached, in_parts, keyed, row_keys
-from hazeline.llm.components import connected
+from hazeline.llm.components import connected, merged
 from hazeline.session import write_and_reread
 
 #: Values of a sketch, and how many of them two sets of the asked similarity share at least, by level.
@@ -63,34 +65,66 @@ BLOCK, COLUMNS = 512, 8192
 WAVE, WIDER = 64, 16
 #: Centres whose sketches are sent to every executor, at most: 4 MB of the largest ones.
 HOT_CENTRES = 1000
-REMEMBERED = 150_000
-
-
-class _WordHashes(dict):
-    """Word to 64-bit hash, kept for words seen before."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = value = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
+#: Bytes of texts whose words are hashed together, and of the longest words hashed so.
+TOGETHER, LONG = 1 << 18, 64
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_sets(texts: Iterable[str], width: int) -> Iterator[np.ndarray]:
+    """Of each text the sorted distinct hashes of its shingles; words end at ASCII white space."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text.encode().lower())  # of bytes: only A-Z and ASCII white space count
+        size += len(held[-1])
+        if size >= TOGETHER:
+            yield from _sets_of(held, width)
+            held, size = [], 0
+    yield from _sets_of(held, width)
+
+
+def _sets_of(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
+    """``shingle_sets`` of some texts whose words are found and hashed together."""
+    joined = b" ".join([b"", *texts, b""])
+    raw = np.frombuffer(joined + bytes(16 - len(joined) % 8), dtype=np.uint8)
+    own = raw[: len(joined)]
+    blank = (own == 0x20) | (own - np.uint8(0x09) < 5)
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1  # the first and the last byte are blank
+    starts, ends = edges[::2], edges[1::2]
+    hashes = _word_hashes(joined, raw, starts, ends - starts)
+    whole = _combined(hashes, width)
+    places = np.cumsum([1, *[len(t) + 1 for t in texts]])
+    bounds = np.searchsorted(starts, places)
+    for first, last in zip(bounds[:-1], bounds[1:]):
+        some = whole[first : last - width + 1] if last - first >= width else _combined(hashes[first:last], last - first)
+        some = np.sort(some.view(np.int64))
+        yield some[np.concatenate([np.ones(min(len(some), 1), dtype=bool), some[1:] != some[:-1]])]
+
+
+def _word_hashes(joined: bytes, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, from eight bytes at a time; ``raw`` has eight more bytes than the words at least."""
+    lanes = raw.view("<u8")
+    out = _mixed(lengths.astype(np.uint64))
+    for i in np.flatnonzero(lengths > LONG):
+        out[i] = xxhash.xxh3_64_intdigest(joined[starts[i] : starts[i] + lengths[i]])
+    live = np.flatnonzero(lengths <= LONG)
+    at, left = starts[live], lengths[live]
+    while len(live):
+        lane, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        part = (lanes[lane] >> shift) | (lanes[lane + 1] << np.uint64(1) << (np.uint64(63) - shift))
+        unused = ((8 - np.minimum(left, 8)) << 3).astype(np.uint64)
+        out[live] = _mixed(out[live] * FACTOR + (part << unused))
+        more = left > 8
+        live, at, left = live[more], at[more] + 8, left[more] - 8
+    return out
 
 
-def shingle_set(text: str, width: int) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles; words end at ASCII white space."""
-    words = text.encode().lower().split()  # of bytes: only A-Z and ASCII white space count
-    if not words:
-        return np.zeros(0, dtype=np.int64)
-    known = _HASHES
-    hashes = np.array([known[w] for w in words], dtype=np.uint64)
-    count = max(len(words) - width + 1, 1)
-    total = np.full(count, len(words) if len(words) < width else width, dtype=np.uint64)
-    for i in range(min(width, len(words))):
-        total = _mixed(total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + count])
-    return np.unique(total.view(np.int64))
+def _combined(hashes: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every ``width`` words in a row."""
+    count = max(len(hashes) - width + 1, 0) if width else 0
+    total = np.full(count, width, dtype=np.uint64)
+    for i in range(width):
+        total = _mixed(total * FACTOR + hashes[i : i + count])
+    return total
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -104,7 +138,7 @@ def sketched(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch["text"]]
+            sets = list(shingle_sets(batch["text"], width))
             digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             out = batch[["no_id", "id_key", "version"]]
             yield out.assign(n_shingles=[len(s) for s in sets], set_key=digests, sketch=[s[:K] for s in sets])
@@ -228,53 +262,82 @@ def common_sizes(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _candidates(left: pd.DataFrame, right: pd.DataFrame, most: int, size: int, least: int) -> pd.DataFrame:
+def _candidates(left: dict, right: dict, most: int, size: int, least: int) -> dict:
     """Pairs of a block that the sketch of their union does not rule out.
 
-    Of each stray and other component the ``most`` with the highest estimates are given;
+    The sides are columns. Of each stray and other component the ``most`` with the highest estimates are given;
     ``cut`` says that there are more. ``size`` and ``least`` are those of the sketches' level.
     """
-    sketches = [[np.asarray(s, dtype=np.int64) for s in side["sketch"]] for side in (left, right)]
+    sketches = [list(side["sketch"]) for side in (left, right)]
     common = common_sizes(*sketches)
     kept = [np.array([len(s) for s in side]) for side in sketches]
-    n = [side["n"].to_numpy() for side in (left, right)]
     either = kept[0][:, None] + kept[1][None, :] - common
-    whole = (n[0] <= size)[:, None] & (n[1] <= size)[None, :]
+    whole = (left["n"] <= size)[:, None] & (right["n"] <= size)[None, :]
     possible = np.where(whole, common * 100 >= either * SIMILAR, common >= least)
-    possible &= left["component"].to_numpy()[:, None] != right["component"].to_numpy()[None, :]
-    rows, places = np.nonzero(possible)
-    seen = np.array([_seen(sketches[0][r], sketches[1][p], size) for r, p in zip(rows, places)], dtype=float)
-    good = whole[rows, places] | (seen >= least)
-    pairs = pd.DataFrame({
-        "a": left["node"].to_numpy()[rows], "b": right["node"].to_numpy()[places],
-        "component": right["component"].to_numpy()[places], "seen": seen,
-    })[good]
-    pairs = pairs.sort_values(["a", "component", "seen", "b"], ascending=[True, True, False, True])
-    place = pairs.groupby(["a", "component"]).cumcount()
-    counts = pairs.groupby(["a", "component"])["b"].transform("size") if len(pairs) else place
-    return pairs.assign(cut=counts > most)[place < most][["a", "b", "cut"]]
-
-
-def _seen(a: np.ndarray, b: np.ndarray, size: int) -> int:
-    """How many values of the sketch of a union are in both sketches."""
-    union = np.union1d(a, b)[:size]
-    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True))
+    possible &= left["component"][:, None] != right["component"][None, :]
+    seen = np.zeros(possible.shape, dtype=np.int64)
+    for row in np.flatnonzero(possible.any(axis=1)):
+        places = np.flatnonzero(possible[row])
+        seen[row, places] = _seen(sketches[0][row], [sketches[1][p] for p in places], size)
+    rows, places = np.nonzero(possible & (whole | (seen >= least)))
+    a, b, component, seen = left["node"][rows], right["node"][places], right["component"][places], seen[rows, places]
+    order = np.lexsort((b, -seen, component, a))
+    a, b, component = a[order], b[order], component[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(len(a), 1), dtype=bool), (a[1:] != a[:-1]) | (component[1:] != component[:-1])]))
+    counts = np.diff([*first, len(a)])
+    given = np.arange(len(a)) - np.repeat(first, counts) < most
+    return {"a": a[given], "b": b[given], "cut": np.repeat(counts > most, counts)[given]}
+
+
+def _seen(own: np.ndarray, others: list[np.ndarray], size: int) -> np.ndarray:
+    """How many values of the sketch of the union with each other sketch are in both."""
+    values = np.concatenate(others)
+    lengths = np.array([len(s) for s in others])
+    other, rank = np.repeat(np.arange(len(others)), lengths), np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    place = np.searchsorted(own, values)
+    both = np.flatnonzero(own[np.minimum(place, len(own) - 1)] == values)
+    other, rank, place = other[both], rank[both], place[both]
+    counts = np.bincount(other, minlength=len(others))
+    before = np.arange(len(both)) - np.repeat(np.cumsum(counts) - counts, counts)
+    # a shared value's place in the union: after those of both sides, of which the shared ones count once
+    return np.bincount(other[rank + place - before < size], minlength=len(others))
+
+
+def _runs(batches: Iterable[pd.DataFrame], keys: list[str]) -> Iterator[dict]:
+    """The columns of each run of rows with the same keys, from batches in the order of the keys."""
+    rest = None
+    for batch in batches:
+        rows = {c: batch[c].to_numpy() for c in batch}
+        if rest is not None:
+            rows = {c: np.concatenate([rest[c], own]) for c, own in rows.items()}
+        changes = np.any([rows[k][1:] != rows[k][:-1] for k in keys], axis=0)
+        starts = [0, *(np.flatnonzero(changes) + 1)]
+        for start, end in zip(starts, starts[1:]):
+            yield {c: own[start:end] for c, own in rows.items()}
+        rest = {c: own[starts[-1] :] for c, own in rows.items()}
+    if rest is not None:
+        yield rest
 
 
 def _in_blocks(strays: DataFrame, nodes: DataFrame, most: int, level: int) -> DataFrame:
-    """``a, b, cut``: the candidate pairs of all blocks."""
+    """``a, b, cut``: the candidate pairs of all blocks.
+
+    Most blocks are small, so they follow each other in sorted partitions instead of being a group each.
+    """
 
     size, least = LEVELS[level]
+    block = ["centre", "class_a", "part_a", "class_b", "part_b"]
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        left, right = block[block["side"] == "a"], block[block["side"] == "b"]
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": [], "cut": []})
-        return _candidates(left, right, most, size, least)
+    def run(batches):
+        for rows in _runs(batches, block):
+            left, right = ({c: own[rows["side"] == side] for c, own in rows.items()} for side in "ab")
+            if len(left["node"]) and len(right["node"]):
+                found = _candidates(left, right, most, size, least)
+                if len(found["a"]):
+                    yield pd.DataFrame(found)
 
-    block = ["centre", "class_a", "part_a", "class_b", "part_b"]
     dealt = strays.join(nodes.select("node", "n", "sketch"), "node")
-    return dealt.groupBy(*block).applyInPandas(compare, "a long, b long, cut boolean")
+    return dealt.repartition(*block).sortWithinPartitions(*block).mapInPandas(run, "a long, b long, cut boolean")
 
 
 def _apart(pairs: DataFrame, components: DataFrame) -> DataFrame:
@@ -315,13 +378,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, keys, width: int) -> DataFrame
     pairs = in_parts(with_a.withColumnsRenamed(ends), texts, keys, "a", counted).withColumnRenamed("text", "text_b").drop(*keys)
 
     def run(batches):
-        last, kept = None, None
         for batch in batches:
-            good = []
-            for a, b in zip(batch["text_a"], batch["text_b"]):
-                if b != last:
-                    last, kept = b, shingle_set(b, width)
-                own = shingle_set(a, width)
+            good, kept = [], None
+            new = batch["b"] != batch["b"].shift()
+            ends = shingle_sets(batch["text_b"][new], width)
+            for other, own in zip(new, shingle_sets(batch["text_a"], width)):
+                kept = next(ends) if other else kept
                 common = len(np.intersect1d(own, kept, assume_unique=True))
                 good.append(100 * common >= SIMILAR * (len(own) + len(kept) - common))
             yield batch.loc[good, ["a", "b"]]
@@ -334,7 +396,7 @@ def _sketches_of(texts: DataFrame, width: int, size: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            sets = [shingle_set(t, width) for t in batch["text"]]
+            sets = list(shingle_sets(batch["text"], width))
             yield pd.DataFrame({"node": batch["node"], "n": [len(s) for s in sets], "sketch": [s[:size] for s in sets]})
 
     return texts.mapInPandas(run, "node long, n long, sketch array<long>")
@@ -359,19 +421,18 @@ def grouped(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     place = ["id_key", "version"]
     all_texts = keyed(docs).select(*place, "text")
     pairs = _plausible(_stars(around), nodes, places=place)
-    links = write_and_reread(_verified(pairs, all_texts, place, width), "links")
-    components = connected(links)
+    components = connected(write_and_reread(_verified(pairs, all_texts, place, width), "links"))
 
     near = write_and_reread(_near_strays(_placed(around, components)), "near")
     if not near.isEmpty():
         wanted = nodes.join(near, "node").select("node", *place)
         texts = write_and_reread(wanted.join(all_texts, place).select("node", "text").dropDuplicates(["node"]), "texts")
-        links, components = _linked_again(texts, near, links, components, width)
+        components = _linked_again(texts, near, components, width)
     return _labelled(sketches, nodes, components)
 
 
-def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, components: DataFrame, width: int):
-    """Links and components after the further levels and the blocks, for the nodes near strays."""
+def _linked_again(texts: DataFrame, near: DataFrame, components: DataFrame, width: int) -> DataFrame:
+    """Components after the further levels and the blocks, for the nodes near strays."""
     for level in range(1, len(LEVELS)):
         own = texts.join(near, "node", "left_semi")
         nodes = write_and_reread(_sketches_of(own, width, LEVELS[level][0]), "nodes")
@@ -380,25 +441,27 @@ def _linked_again(texts: DataFrame, near: DataFrame, links: DataFrame, component
         pairs = _plausible(_stars(placed.where("stray")), nodes, level)
         more = write_and_reread(_verified(_on_places(pairs), texts, ["node"], width), "links")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            components = connected(links)
+            components = merged(components, more)
             placed = _placed(around, components)
         near = write_and_reread(_near_strays(placed), "near")
         if near.isEmpty():
-            return links, components
+            return components
 
-    most, level = WAVE, len(LEVELS) - 1
+    most, level, compared = WAVE, len(LEVELS) - 1, None
     while True:
         found = write_and_reread(_in_blocks(_strays(placed), nodes, most, level), "candidates")
-        more = _verified(_on_places(found.select("a", "b").distinct()), texts, ["node"], width)
-        more = write_and_reread(more, "strays")
+        pairs = found.select("a", "b").distinct()
+        fresh = pairs if compared is None else pairs.join(compared, ["a", "b"], "left_anti")
+        more = write_and_reread(_verified(_on_places(fresh), texts, ["node"], width), "strays")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            components = connected(links)
-            placed = _placed(around, components)
-        left = _apart(found.where("cut").select("a", "b").distinct(), components)
+            components = merged(components, more)
+        left = write_and_reread(_apart(found.where("cut").select("a", "b").distinct(), components).select("a").distinct(), "left")
         if left.isEmpty():
-            return links, components
+            return components
+        # of all other nodes every pair that the blocks do not rule out is compared
+        left = left.select(F.col("a").alias("node"), F.lit(True).alias("left"))
+        placed = _placed(around, components).join(left, "node", "left").withColumn("stray", F.coalesce("left", F.lit(False)))
+        placed, compared = write_and_reread(placed.drop("left"), "placed"), pairs if compared is None else compared.union(fresh)
         most *= WIDER
 
 

@@ -170,6 +170,51 @@ def test_strays_equal_brute_force(spark, monkeypatch, levels, wave):
     assert found == brute_groups(texts, 4)
 
 
+@pytest.mark.parametrize("together", [1, 100, 1 << 18])
+def test_shingle_sets_equal_brute_force(monkeypatch, together):
+    """Words of all lengths and odd bytes, short and empty texts among others that are hashed with them."""
+    monkeypatch.setattr(neardup, "TOGETHER", together)
+    rng = random.Random(3)
+    parts = ["a", "B", "b", "\0", "\x1c", "\x85", "\u00c9", "\u3000", " ", "\n", "\x0b", "x" * 7, "y" * 8, "q" * 64, "r" * 65, "s" * 200]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(400)] + ["", " "]
+    for width in (1, 4):
+        of, to = {}, {}
+        for text, found in zip(texts, neardup.shingle_sets(texts, width), strict=True):
+            w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text))
+            shingles = frozenset(tuple(w[k : k + width]) for k in range(max(len(w) - width + 1, 1))) if w else frozenset()
+            assert len(found) == len(shingles) and (found[1:] > found[:-1]).all()
+            assert of.setdefault(shingles, tuple(found)) == tuple(found) and to.setdefault(tuple(found), shingles) == shingles
+
+
+def test_later_waves_hold_only_strays_with_pairs_left(spark, monkeypatch):
+    """Of the second wave's blocks only strays whose pairs the first one did not all give are a side."""
+    waves = []
+    in_blocks = neardup._in_blocks
+
+    def noted(strays, nodes, most, level):
+        found = in_blocks(strays, nodes, most, level)
+        sides = {r.node for r in strays.where("side = 'a'").select("node").distinct().collect()}
+        waves.append((sides, {r.a for r in found.where("cut").select("a").distinct().collect()}))
+        return found
+
+    for name, value in {"LEVELS": ((8, 1), (8, 1)), "K": 8, "WAVE": 1, "WIDER": 3, "BLOCK": 16, "_in_blocks": noted}.items():
+        monkeypatch.setattr(neardup, name, value)
+    texts = template_copies()
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(documents(spark, texts), 4).collect()}
+    assert found == brute_groups(texts, 4)
+    assert len(waves) > 1 and all(later[0] <= earlier[1] for earlier, later in zip(waves, waves[1:]))
+
+
+def test_further_links_give_the_components_of_all_links(spark):
+    rng = random.Random(4)
+    pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(240)]
+    for at in (0, 1, 120, 239):
+        first, more = (spark.createDataFrame(p, "a long, b long") for p in (pairs[:at], pairs[at:]))
+        at_once = {r.node: r.component for r in components.connected(first.union(more)).collect()}
+        later = components.merged(components.connected(first), more).collect()
+        assert {r.node: r.component for r in later} == at_once and len(later) == len(at_once)
+
+
 def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     rounds = []
     write = components.write_and_reread
