@@ -199,10 +199,14 @@ def test_later_waves_hold_only_strays_with_pairs_left(spark, monkeypatch):
 
     for name, value in {"LEVELS": ((8, 1), (8, 1)), "K": 8, "WAVE": 1, "WIDER": 3, "BLOCK": 16, "_in_blocks": noted}.items():
         monkeypatch.setattr(neardup, name, value)
-    texts = template_copies()
+    rng = random.Random(2)
+    vocabulary = [f"v{i}" for i in range(5000)]
+    template = words(rng, 60, vocabulary)  # pages without near copies: one pair for each other component
+    texts = template_copies() + [(1000 + i, " ".join(template + words(rng, 20, vocabulary))) for i in range(8)]
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.grouped(documents(spark, texts), 4).collect()}
     assert found == brute_groups(texts, 4)
-    assert len(waves) > 1 and all(later[0] <= earlier[1] for earlier, later in zip(waves, waves[1:]))
+    assert len(waves) > 1 and waves[0][0] > waves[0][1]
+    assert all(later[0] <= earlier[1] for earlier, later in zip(waves, waves[1:]))
 
 
 def test_further_links_give_the_components_of_all_links(spark):
